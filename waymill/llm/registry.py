@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe
+from waymill.llm import byte_bpe, png_media, quality, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return quality.quality_report(documents(spark, sf_dir))
+
+
+def op4_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return png_media.media_digest(documents(spark, sf_dir))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return word_tokens.token_counts(documents(spark, sf_dir), limit=2048)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
@@ -19,6 +34,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_quality_rules": op3_quality_rules,
+        "op4_png_media": op4_png_media,
+        "op5_token_counts": op5_token_counts,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
