@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, png_media, quality, word_tokens
+from waymill.llm import byte_bpe, png_media, quality, simhash, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return simhash.near_duplicates(documents(spark, sf_dir), distance=3)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return quality.quality_report(documents(spark, sf_dir))
@@ -34,6 +39,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_simhash": op2_simhash,
         "op3_quality_rules": op3_quality_rules,
         "op4_png_media": op4_png_media,
         "op5_token_counts": op5_token_counts,
