@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, png_media, quality, simhash, word_tokens
+from waymill.llm import byte_bpe, mixing, png_media, quality, secrets, simhash, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return simhash.near_duplicates(documents(spark, sf_dir), distance=3)
@@ -32,6 +36,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_tokens.token_counts(documents(spark, sf_dir), limit=2048)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(documents(spark, sf_dir), owner_col="source", repository_col="doc_id")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
@@ -39,10 +47,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_entropy_mix": op1_entropy_mix,
         "op2_simhash": op2_simhash,
         "op3_quality_rules": op3_quality_rules,
         "op4_png_media": op4_png_media,
         "op5_token_counts": op5_token_counts,
+        "op6_secret_scan": op6_secret_scan,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
