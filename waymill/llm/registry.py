@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, mixing, png_media, quality, secrets, simhash, word_tokens
+from waymill.llm import byte_bpe, mixing, png_media, quality, secrets, simhash, substrings, urls, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir), owner_col="source", repository_col="doc_id")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_report(documents(spark, sf_dir), length=13)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
@@ -53,6 +61,8 @@ def queries() -> dict[str, Query]:
         "op4_png_media": op4_png_media,
         "op5_token_counts": op5_token_counts,
         "op6_secret_scan": op6_secret_scan,
+        "op7_url_filter": op7_url_filter,
+        "op8_substring_dedup": op8_substring_dedup,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
