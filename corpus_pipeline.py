@@ -1,19 +1,56 @@
-"""A corpus pipeline: quality rules, near-duplicates, secrets, mixing, tokens."""
+"""A corpus pipeline: quality rules, near-duplicates, secrets, mixing, tokens.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last
+return the columns of documents. Null texts and short ones go in the first stage; null ids, repeated rows,
+ties and empty tables are as the operators' own docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waymill.llm import byte_bpe
+from waymill.llm import byte_bpe, mixing, quality, secrets, simhash
 from waymill.llm.common import small_batches
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the distances to their language keep."""
+    small_batches(spark)
+    return quality.filter_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of fingerprints within three bits."""
+    small_batches(spark)
+    return simhash.keep_first(docs, distance=3)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked and lengths brought up to date."""
+    return secrets.redact(docs, owner_col="source", repository_col="doc_id").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed_rows(docs)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of the token ids and the decoded bytes of each row."""
     small_batches(spark)
     return byte_bpe.encoding_digest(docs)
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("secret scan", secret_scan),
+    ("source mix", source_mix),
+    ("tokens", tokens),
+]
+
+#: Distances, trees, dual solutions and merges have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 

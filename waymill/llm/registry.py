@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, mixing, png_media, quality, secrets, simhash, substrings, urls, word_tokens
+from waymill.llm import byte_bpe, lm, mixing, png_media, quality, secrets, simhash, substrings, urls, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_report(documents(spark, sf_dir), length=13)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(documents(spark, sf_dir))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op6_secret_scan": op6_secret_scan,
         "op7_url_filter": op7_url_filter,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_lm_score": op9_lm_score,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
