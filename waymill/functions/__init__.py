@@ -1 +1 @@
-"""See the package README."""
+"""Scalar functions on columns."""
