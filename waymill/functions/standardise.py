@@ -163,7 +163,7 @@ def address_parts(c: Column) -> Column:
     code = F.nullif(F.regexp_extract(clean, r"\b(\d{5})\b", 1), F.lit(""))
     city = F.nullif(F.trim(F.regexp_extract(clean, r"\b\d{5}\b(.*)$", 1)), F.lit(""))
     front = F.trim(F.regexp_replace(clean, r"\b\d{5}\b.*$", ""))
-    no = F.nullif(F.lower(F.regexp_extract(front, r"(?i)^(\d+\s?(?:bis|ter|quater|b|t|q)?)\b", 1)), F.lit(""))
+    no = F.nullif(F.trim(F.lower(F.regexp_extract(front, r"(?i)^(\d+\s?(?:bis|ter|quater|b|t|q)?)\b", 1))), F.lit(""))
     street = F.nullif(F.trim(F.regexp_replace(front, r"(?i)^\d+\s?(?:bis|ter|quater|b|t|q)?\b", "")), F.lit(""))
     swapped = city.isNull() & code.isNotNull() & no.isNull()
     return F.struct(no.alias("number"), F.when(~swapped, street).alias("street"), code.alias("postal_code"), F.when(swapped, street).otherwise(city).alias("city"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,3 +15,11 @@ def distinct_key(df: DataFrame) -> Column:
 
 def ordered_by(columns: list[str], descending: bool = False) -> list[Column]:
     return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in columns]
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """The rows written to the folder that driver and executors share, and read from there on."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymill-checkpoint-"))
+    return df.checkpoint(eager=True)

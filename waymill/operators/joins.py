@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymill.operators.common import distinct_key
+from waymill.operators.common import distinct_key, materialised
 
 
 def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Column:
@@ -103,9 +103,9 @@ def nearest(points: DataFrame, places: DataFrame, id_col: str, x: str, y: str, p
     times as wide; the
     widest ring (``cell`` times ten to the power of ``rings`` less one) must span the map.
     """
-    p = points.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    q = places.select(F.col(place).alias("place"), F.col(px).alias("px"), F.col(py).alias("py"))
-    out, left, size = None, p, cell
+    left = materialised(points.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y")))
+    q = materialised(places.select(F.col(place).alias("place"), F.col(px).alias("px"), F.col(py).alias("py")))
+    out, size = None, cell
     for ring in range(rings):
         off = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
         cells = q.withColumn("dx", off).withColumn("dy", off).select("place", "px", "py", (F.floor(F.col("px") / size) + F.col("dx")).alias("cx"), (F.floor(F.col("py") / size) + F.col("dy")).alias("cy"))
@@ -113,9 +113,11 @@ def nearest(points: DataFrame, places: DataFrame, id_col: str, x: str, y: str, p
         gap = F.sqrt((F.col("px") - F.col("x")) ** 2 + (F.col("py") - F.col("y")) ** 2)
         met = own.join(cells, ["cx", "cy"]).withColumn("distance", gap)
         best = met.groupBy("id").agg(F.min(F.struct("distance", "place")).alias("b")).select("id", "b.place", "b.distance")
-        sure = best if ring == rings - 1 else best.where(F.col("distance") <= size)
+        sure = materialised(best if ring == rings - 1 else best.where(F.col("distance") <= size))
         out = sure if out is None else out.unionByName(sure)
         left, size = left.join(sure, "id", "left_anti"), size * 10
+        if left.isEmpty():
+            break
     return out
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.plans import q_join, q_time
+from waymill.plans import q_clean, q_finance, q_join, q_quality, q_time, q_values
 
-MODULES = (q_time, q_join)
+MODULES = (q_time, q_join, q_clean, q_quality, q_finance, q_values)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

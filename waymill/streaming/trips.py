@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import coordinates, wall_clock
+from waymill.operators.common import materialised
 from waymill.operators.dedupe import first_per_key
 from waymill.operators.expect import has_only_key
 from waymill.operators.joins import nearest
@@ -110,6 +111,6 @@ def next_trips(raw: DataFrame, vehicles: DataFrame, trips: DataFrame, addresses:
     grown = last.join(extended, "vehicle_id").withColumn("geometry", geometry_text(without_repeats(F.concat(vertices(F.col("geometry")), "more")))).withColumn("end_at", F.col("until")).select(*TRIP)
     nothing = F.lit(None).cast("string")
     added = found.where("NOT extends").select("vehicle_id", geometry_text(without_repeats(F.col("points"))).alias("geometry"), nothing.alias("start_location"), nothing.alias("end_location"), "start_at", "end_at")
-    changed = located(grown.unionByName(added), addresses)
+    changed = located(materialised(grown.unionByName(added)), addresses)
     same = trips.join(grown.select("vehicle_id", "start_at").distinct(), ["vehicle_id", "start_at"], "left_anti").select(*TRIP)
     return same.unionByName(changed)
