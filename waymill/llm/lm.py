@@ -74,13 +74,16 @@ def from_low(packed: bytes) -> np.ndarray:
 
 
 def packed_counts(counts: np.ndarray) -> bytes:
-    """As one byte each where they fit, else as eight; the first byte says which."""
-    small = not len(counts) or counts.max() < 256
-    return bytes([1 if small else 8]) + counts.astype("u1" if small else "<i8").tobytes()
+    """Their number, one byte each, and in full those that need more, whose byte is 255."""
+    small = np.minimum(counts, 255).astype("u1")
+    return len(counts).to_bytes(8, "little") + small.tobytes() + counts[small == 255].astype("<i8").tobytes()
 
 
 def counts_from(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, dtype="u1" if packed[0] == 1 else "<i8", offset=1).astype(np.int64)
+    end = 8 + int.from_bytes(packed[:8], "little")
+    counts = np.frombuffer(packed[8:end], dtype="u1").astype(np.int64)
+    counts[counts == 255] = np.frombuffer(packed[end:], dtype="<i8")
+    return counts
 
 
 def totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
