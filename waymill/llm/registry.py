@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, lm, mixing, png_media, quality, secrets, simhash, substrings, urls, word_tokens
+from waymill.llm import byte_bpe, lm, mixing, oracles, png_media, quality, secrets, simhash, substrings, urls, word_tokens
 from waymill.llm.common import documents, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,4 +73,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_substring_dedup": oracles.SUBSTRING_DEDUP}
