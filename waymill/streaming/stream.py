@@ -27,23 +27,28 @@ def run_trips(spark: SparkSession, folder: str, table: str, checkpoint: str, veh
     return event_files(spark, folder).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def watermarked(events: DataFrame, at: str, delay: str | None) -> DataFrame:
+    """Event time with a bound on late rows; Spark wants it as a timestamp, read in the session's time zone."""
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay) if delay else events
+
+
 def tumbling(events: DataFrame, at: str, width: str, keys: list[str], value: str, slide: str | None = None, delay: str | None = None) -> DataFrame:
     """Counts and sums by window; with ``slide`` overlapping ones. On a stream, ``delay`` bounds state and late rows."""
-    own = events.withWatermark(at, delay) if delay else events
+    own = watermarked(events, at, delay)
     window = F.window(at, width, slide) if slide else F.window(at, width)
     grouped = own.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(F.col(value).cast("decimal(18,4)")).cast("double").alias("total"))
-    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "total")
+    return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "total")
 
 
 def session_windows(events: DataFrame, at: str, gap: str, keys: list[str], delay: str | None = None) -> DataFrame:
-    own = events.withWatermark(at, delay) if delay else events
+    own = watermarked(events, at, delay)
     grouped = own.groupBy(F.session_window(at, gap).alias("w"), *keys).agg(F.count("*").alias("n"))
-    return grouped.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n")
+    return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("session_start"), F.col("w.end").cast("timestamp_ntz").alias("session_end"), *keys, "n")
 
 
 def distinct_events(events: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
     """Drops repeats that arrive within the delay."""
-    return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
+    return watermarked(events, at, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, schema: str, **options: str) -> DataFrame:
