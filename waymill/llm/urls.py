@@ -51,13 +51,15 @@ def grams(part: str, letters: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.concat(F.lit(f"{part}{n}:"), *[F.element_at(letters, i + k) for k in range(n)])), F.lit(BUCKETS)).cast("int"))
 
 
+def part_buckets(part: str, text: Column) -> Column:
+    """The buckets of all n-grams of one part. Its letters are bound once, so a long part takes time in proportion."""
+    letters = F.concat(F.array(F.lit("^")), F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), F.array(F.lit("$")))
+    return F.get(F.transform(F.array(letters), lambda own: F.concat(*[grams(part, own, n) for n in GRAMS])), F.lit(0))
+
+
 def buckets(host: Column, path: Column) -> Column:
     """The distinct buckets of the n-grams of both parts, each between end marks."""
-    found = []
-    for part, own in (("h", host), ("p", path)):
-        letters = F.concat(F.array(F.lit("^")), F.regexp_extract_all(own, F.lit("(?s)."), F.lit(0)), F.array(F.lit("$")))
-        found += [grams(part, letters, n) for n in GRAMS]
-    return F.array_distinct(F.concat(*found))
+    return F.array_distinct(F.concat(part_buckets("h", host), part_buckets("p", path)))
 
 
 class Model(NamedTuple):
