@@ -6,7 +6,7 @@ slope a source, found by Newton's method kept inside a bracket. A rate depends o
 the iterations run over counts by source and size, exactly, and every step is a grouping of that table.
 
 Rates become copies in three exact steps: each (source, size) cell takes its rounded number of copies;
-what a source then lacks or has too much is settled from its largest fitting sizes down; a cell's copies
+what a source then lacks or has too much is settled from its largest sizes down, to half a size each; a cell's copies
 are dealt to its documents by the hash of their ids, in salted pieces, so that no hot cell meets in a task.
 Sums are decimals or integers, so reruns agree.
 
@@ -108,8 +108,8 @@ def settled(cells: DataFrame, solved: DataFrame, most: int = MOST_COPIES) -> Dat
     lists = rounded.where("size > 0").groupBy(*KEY, "target").agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.sum(F.col("size") * F.col("copies")).alias("taken"))
 
     def settle(state: Column, c: Column) -> Column:
-        more = F.least(F.floor(state["rest"] / c["size"]), most * c["n"] - c["copies"])
-        less = F.least(F.floor(-state["rest"] / c["size"]), c["copies"])
+        more = F.least(F.floor(state["rest"] / c["size"] + 0.5), most * c["n"] - c["copies"])
+        less = F.least(F.floor(-state["rest"] / c["size"] + 0.5), c["copies"])
         change = F.when(state["rest"] > 0, F.greatest(more, F.lit(0))).otherwise(-F.greatest(less, F.lit(0))).cast("long")
         fixes = F.when(change == 0, state["fixes"]).otherwise(F.concat(state["fixes"], F.array(F.struct(c["size"].alias("size"), change.alias("change")))))
         return F.struct((state["rest"] - change * c["size"]).alias("rest"), fixes.alias("fixes"))
