@@ -22,23 +22,25 @@ def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Colum
 def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: str, end: str, order: list[tuple[str, bool]], values: list[str], closed: bool = True, fallback: list[tuple[str, bool]] | None = None, mask_fallback: bool = False) -> DataFrame:
     """Left rows with ``values`` of the best interval of their key.
 
-    Intervals that cover ``at`` come first, by ``order``: pairs of a column (``__start`` and ``__end`` for the
-    bounds, or a value) and whether it descends, in which case an open (null) one counts as last in time. With a ``fallback`` order, keys without one take
-    their first interval by that order, its values kept or, with ``mask_fallback``, set to null. A matched
-    column says which it was. Left rows without any interval keep nulls.
+    Of the intervals that cover ``at``, the first by ``order`` counts: pairs of a column (``__start`` and
+    ``__end`` for the bounds, or a value) and whether it descends, in which case an open (null) one counts as
+    last in time. With a ``fallback`` order, rows without one take their key's first interval by that order,
+    its values kept or, with ``mask_fallback``, set to null. A matched column says which it was. Rows whose
+    key has no interval keep nulls. Only covering intervals meet a row, so versions do not multiply rows.
     """
-    r = right.select(F.col(key).alias("__key"), F.col(start).alias("__start"), F.col(end).alias("__end"), *[F.col(v) for v in values])
-    left = left.withColumn("__row", distinct_key(left))
-    inside = covers(F.col(at), F.col("__start"), F.col("__end"), closed)
-    on = left[key] == r["__key"]
-    met = left.join(r, on if fallback is not None else on & inside, "left").withColumn("matched", F.coalesce(inside, F.lit(False)))
     sort = lambda c, down: c.desc_nulls_first() if down else c.asc_nulls_last()
-    ranks = [F.desc("matched"), *[sort(F.when(F.col("matched"), F.col(c)), d) for c, d in order], *[sort(F.col(c), d) for c, d in fallback or []]]
-    first = F.row_number().over(Window.partitionBy("__row").orderBy(*ranks))
-    out = met.withColumn("__rank", first).where("__rank = 1")
-    if mask_fallback:
-        out = out.withColumns({v: F.when(F.col("matched"), F.col(v)) for v in values})
-    return out.drop("__rank", "__row", "__key", "__start", "__end")
+    bounds = [F.col(key).alias("__key"), F.col(start).alias("__start"), F.col(end).alias("__end")]
+    r = right.select(*bounds, *[F.col(v) for v in values])
+    left = left.withColumn("__row", distinct_key(left))
+    met = left.join(r, (left[key] == r["__key"]) & covers(F.col(at), F.col("__start"), F.col("__end"), closed), "left")
+    first = F.row_number().over(Window.partitionBy("__row").orderBy(*[sort(F.col(c), d) for c, d in order]))
+    out = met.withColumn("__rank", first).where("__rank = 1").withColumn("matched", F.col("__key").isNotNull()).drop("__rank", "__row", "__key", "__start", "__end")
+    if fallback is None or mask_fallback:
+        return out
+    rank = F.row_number().over(Window.partitionBy("__key").orderBy(*[sort(F.col(c), d) for c, d in fallback]))
+    usual = r.withColumn("__rank", rank).where("__rank = 1").select(F.col("__key").alias("__usual"), *[F.col(v).alias(f"__{v}") for v in values])
+    other = out.join(usual, out[key] == usual["__usual"], "left")
+    return other.withColumns({v: F.when(F.col("matched"), F.col(v)).otherwise(F.col(f"__{v}")) for v in values}).drop("__usual", *[f"__{v}" for v in values])
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -78,11 +80,11 @@ def not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 def paths(nodes: DataFrame, id_col: str, name_col: str, parent_col: str, mark: str = " > ", deepest: int = 32) -> DataFrame:
     """id, path (names from the root), depth of every node that a root reaches, level by level."""
     plain = nodes.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"), F.col(parent_col).alias("parent"))
-    level = plain.where("parent IS NULL").select("id", F.col("name").alias("path"), F.lit(1).alias("depth"))
+    level = materialised(plain.where("parent IS NULL").select("id", F.col("name").alias("path"), F.lit(1).alias("depth")))
     out = level
     for depth in range(2, deepest + 1):
         up = level.select(F.col("id").alias("parent"), F.col("path").alias("above"))
-        level = plain.join(up, "parent").select("id", F.concat_ws(mark, "above", "name").alias("path"), F.lit(depth).alias("depth"))
+        level = materialised(plain.join(up, "parent").select("id", F.concat_ws(mark, "above", "name").alias("path"), F.lit(depth).alias("depth")))
         if level.isEmpty():
             break
         out = out.unionByName(level)

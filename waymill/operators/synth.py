@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymill.operators.common import materialised
+
 LETTERS, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -59,7 +61,7 @@ def unique_pseudonyms(keys: DataFrame, key: str, taken: DataFrame, seed: int = 0
     used = taken.select(F.col(taken.columns[0]).alias("alias"))
     for salt in range(rounds):
         drawn = left.withColumn("alias", pseudonym(F.col(key), seed, F.lit(salt)))
-        first = drawn.groupBy("alias").agg(F.min(key).alias(key)).join(used, "alias", "left_anti").select(key, "alias")
+        first = materialised(drawn.groupBy("alias").agg(F.min(key).alias(key)).join(used, "alias", "left_anti").select(key, "alias"))
         out = first if out is None else out.unionByName(first)
         left, used = left.join(first, key, "left_anti"), used.unionByName(first.select("alias"))
         if left.isEmpty():
