@@ -100,7 +100,10 @@ def test_hot_cell_is_dealt_exactly(spark):
 
 def test_mixed_rows_follow_the_report(spark, docs):
     want = Counter({r.doc_id: r.copies for r in mixing.mix_report(docs).collect() if r.copies})
-    assert Counter(r.doc_id for r in mixing.mixed_rows(docs).collect()) == want
+    clash = docs.selectExpr("*", "doc_id AS rate", "doc_id AS copies", "doc_id AS least", "doc_id AS size")
+    rows = mixing.mixed_rows(clash).collect()
+    assert Counter(r.doc_id for r in rows) == want
+    assert all(r.rate == r.copies == r.least == r["size"] == r.doc_id for r in rows)
 
 
 # near-duplicates

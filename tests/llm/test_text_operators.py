@@ -164,6 +164,7 @@ def test_quality_keeps_clean_and_drops_foreign_text(spark):
 
 def test_filter_keeps_columns_of_clashing_names(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    df = docs.selectExpr("*", "1 AS common_words", "2 AS ref_lang")
+    df = docs.selectExpr("*", "1 AS common_words", "2 AS ref_lang", "doc_id * 2 AS quality")
     kept = quality.filter_documents(df)
     assert kept.columns == df.columns and 0 < kept.count() < df.count()
+    assert kept.where("quality <> doc_id * 2").count() == 0

@@ -119,14 +119,16 @@ def settled(cells: DataFrame, solved: DataFrame, most: int = MOST_COPIES) -> Dat
     return rounded.join(fixes, [*KEY, "size"], "left").withColumn("copies", F.col("copies") + F.coalesce("change", F.lit(0))).drop("change", "known")
 
 
-def mix(df: DataFrame, id_col: str, size_col: str, key_col: str, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> DataFrame:
-    """Adds source_size, target, rate and copies to every row of df; columns of those names are replaced.
+ADDED = ("source_size", "target", "rate", "copies")
+
+
+def mix(df: DataFrame, id_col: str, size_col: str, key_col: str, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES, names: tuple[str, ...] = ADDED) -> DataFrame:
+    """Adds source_size, target, rate and copies to every row of df under the given names; columns of those names are replaced.
 
     size_col: words of a row, bigint and not null. The table is read twice: to count, and to deal.
     """
-    copies_cols = ("source_size", "target", "rate", "copies")
-    df = df.drop(*[c for c in copies_cols if c in df.columns])
-    none, src, size, salt, order = (fresh(x) for x in ("none", "src", "size", "salt", "order"))
+    df = df.drop(*[c for c in names if c in df.columns])
+    none, src, size, salt, order, least, extra = (fresh(x) for x in ("none", "src", "size", "salt", "order", "least", "extra"))
     salts = max(16, df.count() // PIECE)
     keyed = df.withColumns({none: F.col(key_col).isNull(), src: F.coalesce(F.col(key_col).cast("string"), F.lit("")), size: F.col(size_col), order: F.xxhash64(F.col(id_col).cast("string"), F.lit(7))})
     keyed = keyed.withColumn(salt, F.pmod(order, F.lit(salts)).cast("int"))
@@ -138,12 +140,12 @@ def mix(df: DataFrame, id_col: str, size_col: str, key_col: str, weights: tuple[
     before = F.coalesce(F.sum("in_piece").over(Window.partitionBy(*KEY, "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     share = lambda upto: F.expr("copies % n").cast("decimal(19,0)") * upto.cast("decimal(19,0)") / F.col("n")
     dealt = dealt.withColumn("before", before).select(
-        F.col("none").alias(none), F.col("src").alias(src), F.col("size").alias(size), F.col("salt").alias(salt), "source_size", "target", "rate",
-        F.floor(F.col("copies") / F.col("n")).cast("long").alias("least"), (F.floor(share(F.col("before") + F.col("in_piece"))) - F.floor(share(F.col("before")))).cast("long").alias("extra"),
+        F.col("none").alias(none), F.col("src").alias(src), F.col("size").alias(size), F.col("salt").alias(salt), *[F.col(c).alias(name) for c, name in zip(ADDED[:3], names)],
+        F.floor(F.col("copies") / F.col("n")).cast("long").alias(least), (F.floor(share(F.col("before") + F.col("in_piece"))) - F.floor(share(F.col("before")))).cast("long").alias(extra),
     )
     ranked = F.row_number().over(Window.partitionBy(none, src, size, salt).orderBy(order, id_col))
-    out = keyed.join(dealt, [none, src, size, salt]).withColumn("copies", F.col("least") + (ranked <= F.col("extra")).cast("long"))
-    return out.drop(none, src, size, salt, order, "least", "extra")
+    out = keyed.join(dealt, [none, src, size, salt]).withColumn(names[3], F.col(least) + (ranked <= F.col(extra)).cast("long"))
+    return out.drop(none, src, size, salt, order, least, extra)
 
 
 def mix_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str = "source") -> DataFrame:
@@ -155,6 +157,7 @@ def mix_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
 
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str = "source") -> DataFrame:
     """The rows of df, each as many times as the mix takes it."""
-    size = fresh("size")
-    mixed = mix(df.withColumn(size, n_words(F.col(text_col))), id_col, size, key_col)
-    return mixed.where("copies > 0").withColumn(fresh("again"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*df.columns)
+    size, names = fresh("size"), tuple(fresh(c) for c in ADDED)
+    mixed = mix(df.withColumn(size, n_words(F.col(text_col))), id_col, size, key_col, names=names)
+    copies = F.col(names[3])
+    return mixed.where(copies > 0).withColumn(fresh("again"), F.explode(F.sequence(F.lit(1), copies.cast("int")))).select(*df.columns)

@@ -186,4 +186,5 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def filter_documents(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows that the rules keep, with their own columns only."""
-    return judged(df, text_col, lang_col).where("quality.kept").select(*df.columns)
+    into = fresh("quality")
+    return judged(df, text_col, lang_col, into).where(f"{into}.kept").select(*df.columns)
