@@ -31,7 +31,7 @@ DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 #: Longest text, in characters, and longest pre-token, in bytes, that are encoded without halving.
 TEXT_BLOCK, PIECE_BLOCK = 8192, 64
 #: Pre-tokens whose encodings a worker remembers; the least recently used one goes first.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 SAFE_CUT = regex.compile(r"(?<=[\p{L}\p{N}!-/:-@\[-`{-~])[ \n]")
 
 
@@ -189,6 +189,20 @@ def bpe_bytes(ids: Column, ranks_path: str | None = None) -> Column:
     return decode(ids)
 
 
+def bpe_round_trip(text: Column, ranks_path: str | None = None) -> Column:
+    """struct<token_ids: array<int>, decoded: binary>: both directions in one worker, which then holds one vocabulary."""
+    path = ranks_path or public_tokenizers.path(DEFAULT_RANKS)
+
+    @F.pandas_udf("token_ids array<int>, decoded binary")
+    def there_and_back(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = encoder(path)
+        for batch in texts:
+            ids = [np.array(enc.encode(x or ""), dtype=np.int32) for x in batch]
+            yield pd.DataFrame({"token_ids": pd.Series(ids, dtype=object), "decoded": pd.Series([enc.decode(x) for x in ids], dtype=object)})
+
+    return there_and_back(text)
+
+
 def encode_documents(df: DataFrame, text_col: str = "text", ids_col: str = "token_ids", ranks_path: str | None = None) -> DataFrame:
     """Adds the token ids of each text; a column of that name is replaced, all rows and other columns stay."""
     return df.withColumn(ids_col, bpe_ids(F.col(text_col), ranks_path))
@@ -201,7 +215,7 @@ def decode_documents(df: DataFrame, ids_col: str = "token_ids", bytes_col: str =
 
 def encoding_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
     """id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded again."""
-    coded = decode_documents(encode_documents(df.select(id_col, text_col), text_col, ranks_path=ranks_path), ranks_path=ranks_path)
+    coded = df.select(id_col, bpe_round_trip(F.col(text_col), ranks_path).alias("coded")).select(id_col, "coded.*")
     return coded.select(
         id_col,
         F.size("token_ids").cast("long").alias("n_tokens"),

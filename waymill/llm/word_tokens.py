@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 END = "</w>"
 
 
