@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.llm import byte_bpe, mixing, quality, secrets, simhash
+from waymill.llm import byte_bpe, mixing, quality, secrets, shingles
 from waymill.llm.common import cut_lineage, small_batches
 
 
@@ -21,9 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of fingerprints within three bits."""
+    """The document of least id of each group linked by a similarity of five-word shingles of 0.8 or more."""
     small_batches(spark)
-    return simhash.keep_first(docs, distance=3)
+    return shingles.keep_first(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ as they are; a null id never becomes a component's id unless all its ids are nul
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -196,8 +196,13 @@ def links(points: DataFrame, distance: int = 3, blocks: int | None = None, sampl
 def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, blocks: int | None = None) -> DataFrame:
     """id, fp, root (least fp of the component), component_id (least id), for each row."""
     docs = cut_lineage(df.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp")))
+    return rooted(docs, lambda points: links(points, distance, blocks))
+
+
+def rooted(docs: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows (id, fp) with root and component_id, by the edges that ``link`` finds for the distinct fp."""
     points = cut_lineage(docs.groupBy("fp").agg(F.min("id").alias("id")))
-    roots = stars(links(points, distance, blocks))
+    roots = stars(link(points))
     joined = points.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "id", F.coalesce("b", "fp").alias("root"))
     least = joined.groupBy("root").agg(F.min("id").alias("component_id"))
     named = joined.join(least, "root").select("fp", "root", "component_id")
@@ -214,11 +219,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3) -> DataFrame:
     """One row of each component: that of the least id. Of rows with one id, one stays, and where no row of
     a component has an id, one of them."""
-    found = cut_lineage(marked(df, id_col, text_col, distance))
+    return first_rows(df, marked(df, id_col, text_col, distance), fingerprint, id_col, text_col)
+
+
+def first_rows(df: DataFrame, marks: DataFrame, mark: Callable[[Column], Column], id_col: str, text_col: str) -> DataFrame:
+    """What ``keep_first`` keeps, by the marked rows; ``mark`` gives a text's fp."""
+    found = cut_lineage(marks)
     key = fresh("kept")
     least = found.where("component_id IS NOT NULL").select(F.col("component_id").alias(key)).distinct()
     with_id = df.join(least, df[id_col] == F.col(key), "left_semi").dropDuplicates([id_col])
     bare, root = found.where("component_id IS NULL").groupBy("fp").agg(F.min("root").alias("root")), fresh("root")
-    without = df.where(F.col(id_col).isNull()).withColumn(key, fingerprint(F.col(text_col)))
+    without = df.where(F.col(id_col).isNull()).withColumn(key, mark(F.col(text_col)))
     one = without.join(bare.select(F.col("fp").alias(key), F.col("root").alias(root)), key).dropDuplicates([root])
     return with_id.unionByName(one.select(*df.columns))
