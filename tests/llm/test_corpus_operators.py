@@ -220,6 +220,16 @@ def test_widely_copied_values_are_examples(spark):
     assert text[100] == "x [secret]" and text[0] == "[secret] end" and text[101] == "[secret] [secret]"
 
 
+def test_secrets_of_one_owner_are_live_in_any_number_of_rows(spark):
+    own, two, three, unknown, rare = ("Zq8" + c + "kR4tY7uI" * 5 for c in "abcde")
+    rows = [(k, own, "s1") for k in range(3000)] + [(3000 + k, two, f"s{k % 2}") for k in range(30)] + [(4000 + k, three, f"s{k % 3}") for k in range(3)]
+    rows += [(5000 + k, unknown, None) for k in range(10)] + [(6000 + k, rare, None) for k in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {k: t in (own, two, rare) for k, t, _ in rows}
+    assert {r.doc_id: r.n_live == 1 for r in secrets.secret_report(df).collect()} == want
+    assert {r.doc_id: r.text == "[secret]" for r in secrets.redact(df).collect()} == want
+
+
 def test_secrets_of_odd_rows(spark, odd):
     rows = secrets.secret_report(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(d for d, _, _ in ODD)
