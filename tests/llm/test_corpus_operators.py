@@ -153,6 +153,19 @@ def test_trees_lose_no_link(spark, blocks, shard, cell):
     assert [root.get(p, p) for p in points] == [points[k] for k in brute_labels(points)]
 
 
+def test_queries_visit_only_shards_in_reach():
+    rng = np.random.default_rng(3)
+    points = rng.integers(0, 1 << 64, 4000, dtype=np.uint64)
+    visits = []
+    for block in range(simhash.BLOCKS):
+        mask = simhash.block_mask(block, simhash.BLOCKS)
+        tree = simhash.plant(points, mask, 4)
+        homes, home = simhash.shards_of(points, tree, mask, 0)
+        assert sorted(homes) == list(range(4000)) and len(set(home)) > 8
+        visits.append(len(simhash.shards_of(points, tree, mask, 3 // simhash.BLOCKS)[0]) / 4000)
+    assert all(1.5 < v < 10 for v in visits)  # boundary-overlapping shards are met, most others are pruned
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
@@ -282,8 +295,29 @@ def test_url_model_on_held_out_rows(spark):
 # substrings
 
 
+def small_pieces(monkeypatch, size: int) -> None:
+    monkeypatch.setattr(exchange.blocks_for, "__defaults__", (size,))
+    monkeypatch.setattr(exchange.packed, "__defaults__", (size,))
+
+
+def test_factors_are_long_and_equal_their_references(spark):
+    """Copies are parsed to one factor each; a factor whose words differ from its reference's is refused."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(5, f"one two {passage} three"), (9, f"{passage} and more {passage}"), (7, "x " * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1).sortWithinPartitions("doc_id")
+    pieces = exchange.packed(df, "doc_id", "text", 1)
+    found = substrings.parse(pieces, substrings.found_windows(pieces, 1, 13), 13)
+    own = [r for r in found.collect() if r.asker is None]
+    assert [(exchange.unpack_ints(r.starts).tolist(), exchange.unpack_ints(r.words).tolist(), exchange.unpack_ints(r.places).tolist()) for r in own] == [([103, 165], [60, 60], [2, 2])]
+    wrong = found.withColumn("digests", F.when(F.col("asker").isNotNull(), F.lit(bytes(16))))
+    bad = substrings.tested(pieces, wrong).where("ref IS NOT NULL").collect()
+    assert [(exchange.unpack_ints(r.words).tolist(), exchange.unpack_ints(r.places).tolist()) for r in bad] == [([60], [2])]
+    group = substrings.tested(pieces, wrong).toPandas()
+    assert not len(substrings.agreed(group)) and len(substrings.agreed(group[group["ref"].isna()])) == 2
+
+
 def test_removal_equals_brute_force(spark, docs, monkeypatch):
-    monkeypatch.setattr(exchange.batches_for, "__defaults__", (1 << 17,))
+    small_pieces(monkeypatch, 1 << 17)
     made = spark.createDataFrame([(d, t) for d, t, _ in ODD], "doc_id long, text string")
     shifted = docs.select((F.col("doc_id") + 1000).alias("doc_id"), F.concat(F.lit("new start "), F.substring("text", 100, 900)).alias("text")).where("doc_id % 7 = 0")
     df = docs.select("doc_id", "text").unionByName(shifted).unionByName(made.where("doc_id IS NULL OR doc_id > 9"))
@@ -304,7 +338,7 @@ def test_removal_equals_brute_force(spark, docs, monkeypatch):
                 gone[k : k + 13] = [True] * 13
         kept = b" ".join(w for w, g in zip(words, gone) if not g)
         want[r.doc_id, len(words), sum(gone), hashlib.sha256(kept).hexdigest()] += 1
-    assert exchange.batches_for(df, "text") > 2
+    assert exchange.blocks_for(df, "text") > 2
     assert Counter(map(tuple, substrings.removal_report(df).collect())) == want
     texts = {(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in substrings.without_duplicates(df).collect()}
     assert texts == {(k[0], k[3]) for k in want}
@@ -314,29 +348,69 @@ def test_removal_equals_brute_force(spark, docs, monkeypatch):
 # language model
 
 
-@pytest.mark.parametrize("batch_bytes", [1 << 17, 1 << 23])
-def test_scores_equal_brute_force(spark, docs, monkeypatch, batch_bytes):
-    monkeypatch.setattr(exchange.batches_for, "__defaults__", (batch_bytes,))
-    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, None), (3000, None), (3001, ""), (3002, " A  b "), (3002, " A  b ")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+def walked(arcs: dict, leave: dict, words: list) -> float:
+    """Reads one text word by word, with a state at hand: along failure arcs, each shortening the state, to an arc."""
+    state, score = ("start",), 0.0
+    for w in words:
+        context = state
+        while (*context, w) not in arcs:
+            score += leave[context]
+            context = context[1:]
+        score += arcs[*context, w]
+        for state in ((*state[-1:], w), (w,), ()):
+            if state in leave:
+                break
+    return score
+
+
+@pytest.mark.parametrize("piece_bytes", [1 << 17, 1 << 23])
+def test_scores_equal_brute_force(spark, docs, monkeypatch, piece_bytes):
+    small_pieces(monkeypatch, piece_bytes)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, None), (3000, None), (3001, ""), (3002, " A  b "), (3002, " A  b "), (3003, "a b c d"), (3004, "a b c e a b c d"), (3001, "a b c d f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", F.lit("clash")).withColumn("id", F.lit("clash"))
     tokens = [(d, (t or "").encode().lower().split() + [None]) for d, t in rows]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
-    one, two, start = Counter(), Counter(), 0
+    one, two, three = Counter(), Counter(), Counter()
     for d, w in tokens:
         if not held(d):
-            start += 1
-            one.update(w)
+            one.update([*w, "start"])
             two.update(zip(["start", *w[:-1]], w))
+            three.update(zip(["start", *w[:-2]], w[:-1], w[1:]))
+    start = one.pop("start")
     n, v = sum(one.values()), len(one)
-    p = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
-    want = []
-    for d, w in tokens:
-        score = sum(math.log10((two[a, b] + lm.MASS * p(b)) / ((start if a == "start" else one[a]) + lm.MASS)) for a, b in zip(["start", *w[:-1]], w))
-        want.append((d, held(d), len(w), sum(one[x] > 0 for x in w), n, sum(math.log10(p(x)) for x in w), score))
-    key = lambda r: (r[0] is None, r[0] or 0)
+    p1 = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
+    c1 = lambda a: start if a == "start" else one[a]
+    p2 = lambda a, b: (two[a, b] + lm.MASS * p1(b)) / (c1(a) + lm.MASS)
+    p3 = lambda a, b, c: (three[a, b, c] + lm.PAIR_MASS * p2(b, c)) / (two[a, b] + lm.PAIR_MASS)
+    every = {x for _, w in tokens for x in w}
+    arcs = {(x,): math.log10(p1(x)) for x in every} | {k: math.log10(p2(*k)) for k in two} | {k: math.log10(p3(*k)) for k in three}
+    leave = {(): 0.0, ("start",): math.log10(lm.MASS / (start + lm.MASS))}
+    leave |= {(a,): math.log10(lm.MASS / (k + lm.MASS)) for a, k in one.items()} | {k: math.log10(lm.PAIR_MASS / (m + lm.PAIR_MASS)) for k, m in two.items()}
+    want = [(d, held(d), len(w), sum(one[x] > 0 for x in w), n, sum(math.log10(p1(x)) for x in w), walked(arcs, leave, w)) for d, w in tokens]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
     found = sorted(map(tuple, lm.score_report(df).collect()), key=key)
     for a, b in zip(found, sorted(want, key=key), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
     held_rows = [r for r in found if r[1]]
     assert sum(r[6] for r in held_rows) > sum(r[5] for r in held_rows)
     assert lm.score_report(df.limit(0)).count() == 0
+
+
+def test_texts_that_occur_twice_score_higher(spark):
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{k}" for k in range(400)])
+    texts = [" ".join(words[rng.integers(0, 400, 120)]) for _ in range(300)]
+    rows = list(enumerate(texts)) + [(1000 + k, texts[k]) for k in range(30)]
+    scores = {r.doc_id: r.score / r.n_tokens for r in lm.score_report(spark.createDataFrame(rows, "doc_id long, text string")).where("NOT held_out").collect()}
+    twice = [scores[k] for k in range(30) if k in scores and 1000 + k in scores]
+    assert min(twice) > max(scores[k] for k in range(30, 300) if k in scores)
+
+
+def test_keys_and_counts_travel_in_full():
+    rng = np.random.default_rng(1)
+    for keys in (np.zeros(0, dtype=np.uint64), np.array([0, (1 << 64) - 1], dtype=np.uint64), np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64)), np.arange(9, dtype=np.uint64)):
+        assert (exchange.unpack_keys(exchange.pack_keys(keys)) == keys).all()
+    counts = np.array([0, 1, 254, 255, 256, 1 << 40])
+    assert (exchange.unpack_counts(exchange.pack_counts(counts)) == counts).all() and (exchange.unpack_ints(exchange.pack_ints(counts)) == counts).all()
+    flags = counts > 3
+    assert (exchange.unpack_flags(exchange.pack_flags(flags)) == flags).all()

@@ -1,14 +1,18 @@
-"""Near copies by the similarity of their sets of word runs: every pair that is alike enough, no other.
+"""SimHash near-duplicates held to a similarity of the sets of word runs: every pair that is alike enough, no other.
 
 A text's set holds the 64-bit hashes of its runs of ``WORDS`` words; a shorter text has one run. Equal sets
-share a signature and are one point. Hashes travel once, to the block of their high bits, where those that
-only one row has are dropped: no two sets have them in common. So a set goes on only if enough of it is left
+share a signature and are one point. ``simhash`` marks each set and its vantage-point trees propose pairs whose
+marks lie within a few bits; each is checked by the sets' hashes. Marks alone would lose links: two sets of a
+similarity of 0.8 differ in some ten of 64 bits, where chance brings most points of a large corpus together.
+
+So an exact way finds what marks miss. Hashes travel once, to the block of their high bits, where those that
+only one row has are dropped: no two sets have them in common. A set goes on only if enough of it is left
 to be alike to any other, and what is left of two sets is all that their similarity needs. By one order of
 hashes (rare ones first) two sets that are alike share a hash in the part before which too little is left;
 sets that share one there are candidates, and each candidate pair is checked by its hashes.
 
-Candidates that neighbours in the lists have joined already are not compared again: components stay the same,
-and a large group of copies costs no square of its size.
+Candidates that marks, or neighbours in the lists, have joined already are not compared again: components stay
+the same, and a large group of copies costs no square of its size.
 
 Null and wordless texts have the empty set, linked like any other. Repeated rows and ids are as in ``simhash``.
 """
@@ -27,11 +31,13 @@ from pyspark.sql import functions as F
 from waymill.llm import simhash
 from waymill.llm.common import cut_lineage
 from waymill.llm.components import stars
-from waymill.llm.exchange import by_block, joined, unpacked
+from waymill.llm.exchange import by_block, met, pack_counts, pack_keys, spread, unpack_counts, unpack_keys
 from waymill.llm.wordhash import ODD, mixed, runs, words_of
 
 #: Words of a run; the least similarity as a fraction, so that limits are exact.
 WORDS, ALIKE = 5, (4, 5)
+#: Bits within which marks propose a pair.
+NEAR = 3
 #: Characters of the texts whose hashes travel together; bytes of text whose hashes a block gets.
 PIECE, SHARE = 4 << 20, 16 << 20
 
@@ -48,15 +54,25 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return mixed(sums ^ np.array([len(own) for own in sets], dtype=np.uint64))
 
 
-def signature(text: Column) -> Column:
-    """One bigint for equal sets."""
+def signed(text: Column) -> Column:
+    """struct<fp: bigint, mark: bigint>: one fp for equal sets, and the SimHash fingerprint of the set."""
 
-    @F.pandas_udf("long")
-    def mark(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("fp long, mark long")
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series(signatures(shingle_sets(list(batch))).view(np.int64))
+            out = [(np.zeros(0, dtype=np.uint64),) * 2]
+            for own in pieces(list(batch)):
+                sets = shingle_sets(own)
+                out.append((signatures(sets), simhash.bit_majority(np.concatenate(sets), [len(s) for s in sets])))
+            fps, marks = (np.concatenate(x).view(np.int64) for x in zip(*out))
+            yield pd.DataFrame({"fp": fps, "mark": marks})
 
-    return mark(text)
+    return sign(text)
+
+
+def signature(text: Column) -> Column:
+    """One bigint for equal sets."""
+    return signed(text)["fp"]
 
 
 def pieces(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -87,34 +103,34 @@ def shared_sets(df: DataFrame, text_col: str, alike: tuple[int, int] = ALIKE, sh
                 order = np.argsort(keys, kind="stable")
                 keys, who = keys[order], who[order]
                 rows = [(piece % count, piece, b"", b"", signatures(sets).tobytes(), sizes.tobytes())]
-                rows += [(block, piece, keys[at].tobytes(), who[at].tobytes(), b"", b"") for block, at in by_block(keys, count)]
+                rows += [(block, piece, pack_keys(keys[at]), who[at].tobytes(), b"", b"") for block, at in by_block(keys, count)]
                 yield pd.DataFrame(rows, columns=["block", "piece", "keys", "who", "fps", "sizes"])
                 piece += 1
 
-    def met(group: pd.DataFrame) -> pd.DataFrame:
-        keys = joined(group["keys"], "<u8")
-        _, place, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        rows, at = counts[place], 0
+    def shared(group: pd.DataFrame) -> pd.DataFrame:
+        keys = [unpack_keys(x) for x in group["keys"]]
+        distinct, at = met(keys)
+        counts = np.bincount(np.concatenate(at), minlength=len(distinct))
         out = []
-        for own, piece, who, fps, sizes in zip(unpacked(group["keys"], "<u8"), group["piece"], unpacked(group["who"], "<u2"), group["fps"], group["sizes"]):
-            held = rows[at : at + len(own)]
-            at += len(own)
+        for own, place, piece, who, fps, sizes in zip(keys, at, group["piece"], group["who"], group["fps"], group["sizes"]):
+            held = counts[place]
             many = held > 1
             if len(fps) or many.any():
-                out.append((piece, own[many].tobytes(), who[many].tobytes(), held[many].astype("<u4").tobytes(), fps, sizes))
+                out.append((piece, pack_keys(own[many]), np.frombuffer(who, dtype="<u2")[many].tobytes(), pack_counts(held[many]), fps, sizes))
         return pd.DataFrame(out, columns=["piece", "keys", "who", "held", "fps", "sizes"])
 
     def gathered(group: pd.DataFrame) -> pd.DataFrame:
-        keys, who, held = joined(group["keys"], "<u8"), joined(group["who"], "<u2"), joined(group["held"], "<u4")
-        fps, sizes = joined(group["fps"], "<u8").view(np.int64), joined(group["sizes"], "<u4").astype(np.int64)
+        keys, held = (np.concatenate(list(map(f, group[c]))) for f, c in ((unpack_keys, "keys"), (unpack_counts, "held")))
+        who, fps, sizes = (np.frombuffer(b"".join(group[c]), dtype=kind) for c, kind in (("who", "<u2"), ("fps", "<i8"), ("sizes", "<u4")))
+        sizes = sizes.astype(np.int64)
         order = np.lexsort((keys, held, who))
         keys, bounds = keys[order], np.searchsorted(who[order], np.arange(len(fps) + 1))
         left, at = np.diff(bounds), bounds[:-1]
         fit = np.flatnonzero((sizes > 0) & (whole * left >= part * sizes))
         return pd.DataFrame({"fp": fps[fit], "n": sizes[fit], "keys": [keys[at[i] : at[i] + left[i]].tobytes() for i in fit]})
 
-    asked = texts.mapInPandas(send, "block long, piece long, keys binary, who binary, fps binary, sizes binary")
-    answered = asked.groupBy("block").applyInPandas(met, "piece long, keys binary, who binary, held binary, fps binary, sizes binary")
+    asked = spread(texts.mapInPandas(send, "block long, piece long, keys binary, who binary, fps binary, sizes binary"), "block", count)
+    answered = spread(asked.groupBy("block").applyInPandas(shared, "piece long, keys binary, who binary, held binary, fps binary, sizes binary"), "piece", count)
     return answered.groupBy("piece").applyInPandas(gathered, "fp long, n long, keys binary").dropDuplicates(["fp"])
 
 
@@ -145,14 +161,24 @@ def checked(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int] = ALIKE) -
     return met.where(F.col("common") * (part + whole) >= part * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def links(df: DataFrame, text_col: str, alike: tuple[int, int] = ALIKE, share: int = SHARE) -> DataFrame:
-    """Edges (a, b) that connect exactly the signatures of sets alike by at least the fraction."""
+def proposed(marks: DataFrame, distance: int) -> DataFrame:
+    """Pairs (a, b) of different fps that connect those whose marks are equal or lie within so many bits."""
+    firsts = cut_lineage(marks.groupBy("mark").agg(F.min("fp").alias("first")))
+    equal = marks.join(firsts, "mark").where("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    near = simhash.links(firsts.select(F.col("mark").alias("fp")), distance)
+    a, b = (firsts.select(F.col("mark").alias(c), F.col("first").alias(f"fp_{c}")) for c in "ab")
+    return equal.unionByName(near.join(a, "a").join(b, "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
+
+
+def links(df: DataFrame, text_col: str, marks: DataFrame, alike: tuple[int, int] = ALIKE, share: int = SHARE, distance: int = NEAR) -> DataFrame:
+    """Edges (a, b) that connect exactly the signatures of sets alike by at least the fraction. marks: fp, mark of each set."""
     part, whole = alike
     sets = cut_lineage(shared_sets(df, text_col, alike, share))
     lists = cut_lineage(postings(sets, alike))
     before = Window.partitionBy("key").orderBy("n", "fp")
     follow = lists.select("fp", "n", F.lag("fp").over(before).alias("a"), F.lag("n").over(before).alias("n_a")).where(whole * F.col("n_a") >= part * F.col("n"))
-    near = cut_lineage(checked(follow.select("a", F.col("fp").alias("b")).distinct(), sets, alike))
+    pairs = proposed(marks, distance).unionByName(follow.select("a", F.col("fp").alias("b")))
+    near = cut_lineage(checked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, alike))
     roots = stars(near).withColumnsRenamed({"a": "fp", "b": "root"})
     named = cut_lineage(lists.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     apart = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
@@ -165,10 +191,11 @@ def links(df: DataFrame, text_col: str, alike: tuple[int, int] = ALIKE, share: i
     return near.unionByName(checked(pairs, sets, alike))
 
 
-def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: tuple[int, int] = ALIKE, share: int = SHARE) -> DataFrame:
+def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: tuple[int, int] = ALIKE, share: int = SHARE, distance: int = NEAR) -> DataFrame:
     """id, fp, root (least fp of the component), component_id (least id), for each row."""
-    docs = cut_lineage(df.select(F.col(id_col).alias("id"), signature(F.col(text_col)).alias("fp")))
-    return simhash.rooted(docs, lambda points: links(df, text_col, alike, share))
+    docs = cut_lineage(df.select(F.col(id_col).alias("id"), signed(F.col(text_col)).alias("own")).select("id", "own.*"))
+    marks = docs.select("fp", "mark").distinct()
+    return simhash.rooted(docs.drop("mark"), lambda points: links(df, text_col, marks, alike, share, distance))
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: tuple[int, int] = ALIKE, share: int = SHARE) -> DataFrame:

@@ -5,10 +5,13 @@ distance, over a block of bits, from vantage points: at most a radius, or beyond
 a metric too, and of two fingerprints within ``distance`` bits at least one block differs in at most
 ``distance // blocks`` bits. So by the triangle bound a search with that slack, in the tree of each block,
 meets every linked pair: a point lives in one shard, and is a query in each shard whose bounds its slack
-overlaps (with more blocks than bits the slack is zero and that is its own shard). Inside a shard, points
-are sorted by full distance from one more vantage point and only those within ``distance`` of each other
-there are compared. Shards over a size are cut into pieces, and each pair of pieces is a task's work.
-A shard returns a spanning forest of its links, never all pairs.
+overlaps; the branches that the bound rules out are never visited. With two blocks of 32 bits (the default)
+the slack for 3 bits is one, and a query goes on to neighbouring shards where it lies at their boundary.
+
+A shard's work is its own points against its queries. Both are sorted by full distance from one more vantage
+point, and only those within ``distance`` of each other there are compared. Points and queries over a size are
+cut into parts, and a part of points with a part of queries is a task's work. Each gives a spanning forest of
+the links that it finds, never all pairs.
 
 Null and wordless texts have fingerprint zero, linked like any other. Repeated rows and equal ids are kept
 as they are; a null id never becomes a component's id unless all its ids are null.
@@ -30,9 +33,10 @@ from waymill.llm.common import cut_lineage, fresh
 from waymill.llm.components import stars
 
 BITS, SEED, SHINGLE = 64, 42, 3
-#: Fingerprints that the trees are fitted on; points that a shard should hold, and at most holds uncut.
-SAMPLE, SHARD, CELL = 4096, 256, 2048
-DEEPEST = 14
+#: Points that a shard should hold; points or queries of a task's work; blocks of bits, one tree each.
+SHARD, CELL, BLOCKS = 512, 8192, 2
+#: Fingerprints that the trees are fitted on: some for each shard, at least and at most so many.
+FIT, LEAST_FIT, MOST_FIT = 8, 4096, 1 << 18
 #: Shingles that are counted in one step; lanes of 16 bits hold that many.
 STEP = 60_000
 _LANES = np.array([sum(((n >> j) & 1) << (16 * j) for j in range(4)) for n in range(16)], dtype=np.uint64)
@@ -135,42 +139,66 @@ def shards_of(points: np.ndarray, tree: Split | None, mask: int, slack: int) ->
     return np.concatenate([a for a, _ in found]), np.concatenate([np.full(len(a), p, dtype=np.int64) for a, p in found])
 
 
-def forest(points: np.ndarray, distance: int) -> np.ndarray:
-    """The least index in the component of each point, over links of at most ``distance`` bits."""
-    away = np.bitwise_count(points ^ points[0]).astype(np.int64)
-    order = np.argsort(away, kind="stable")
-    points, away = points[order], away[order]
-    label = np.arange(len(points))
-    for start in range(0, len(points), 256):
-        end = min(start + 256, len(points))
-        last = int(np.searchsorted(away, away[end - 1] + distance, side="right"))
-        near = np.bitwise_count(points[start:end, None] ^ points[None, start:last]) <= distance
-        for i in np.flatnonzero(near.sum(axis=1) > 1):
-            meet = label[start:last][near[i]]
-            if meet.min() != meet.max():
-                label[np.isin(label, meet)] = meet.min()
-    out = np.empty(len(points), dtype=np.int64)
-    out[order] = order[label]
-    return out
-
-
-def links(points: DataFrame, distance: int = 3, blocks: int | None = None, sample: int = SAMPLE, shard: int = SHARD, cell: int = CELL) -> DataFrame:
+def forest(own: np.ndarray, queries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (point, root) that connect a shard's own points and queries as their links of at most ``distance`` bits do."""
+    nodes = np.union1d(own, queries)
+    vantage = own[0]
+    away, asked = (np.bitwise_count(x ^ vantage).astype(np.int64) for x in (own, queries))
+    order, ask = np.argsort(away, kind="stable"), np.argsort(asked, kind="stable")
+    own, away, queries, asked = own[order], away[order], queries[ask], asked[ask]
+    hits = [(np.zeros(0, dtype=np.int64),) * 2]
+    for start in range(0, len(queries), 256):
+        end = min(start + 256, len(queries))
+        low = int(np.searchsorted(away, asked[start] - distance))
+        high = int(np.searchsorted(away, asked[end - 1] + distance, side="right"))
+        q, o = np.nonzero(np.bitwise_count(queries[start:end, None] ^ own[None, low:high]) <= distance)
+        other = queries[start + q] != own[low + o]
+        hits.append((start + q[other], low + o[other]))
+    a, b = np.searchsorted(nodes, queries[np.concatenate([h[0] for h in hits])]), np.searchsorted(nodes, own[np.concatenate([h[1] for h in hits])])
+    label = np.arange(len(nodes))
+    while (label[a] != label[b]).any():
+        least = np.minimum(label[a], label[b])
+        for end in (label[a], label[b]):  # roots first, so that whole groups move
+            np.minimum.at(label, end, least)
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        while (label[label] != label).any():
+            label = label[label]
+    linked = label != np.arange(len(nodes))
+    return nodes[linked], nodes[label[linked]]
+
+
+def gathered(batches: Iterator[pd.DataFrame], least: int = 1 << 16) -> Iterator[np.ndarray]:
+    """The points of a task, so many at a time: a walk through a tree pays for many at once."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(batch["fp"].to_numpy().view(np.uint64))
+        if sum(map(len, held)) >= least:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
+
+
+def links(points: DataFrame, distance: int = 3, blocks: int | None = None, shard: int = SHARD, cell: int = CELL) -> DataFrame:
     """Edges (a, b) that connect exactly the distinct fingerprints (column fp) within ``distance`` bits.
 
-    blocks: bits are cut into that many, one tree each (default: one more than the distance, so that no
-    query needs a second shard); fewer blocks make shards finer and send queries to neighbouring shards.
+    blocks: bits are cut into that many, one tree each. With more blocks than ``distance`` no query needs a
+    second shard, but shards hold whatever agrees in few bits; with fewer, shards are finer and queries visit
+    neighbouring ones.
     """
-    blocks = blocks or distance + 1
+    blocks = blocks or BLOCKS
     slack = distance // blocks
-    fitted = points.orderBy(F.xxhash64("fp"), "fp").limit(sample)
+    count = points.count()
+    shards = max(1, math.ceil(count / shard))
+    fitted = points.orderBy(F.xxhash64("fp"), "fp").limit(min(MOST_FIT, max(LEAST_FIT, FIT * shards)))
     seen = np.array([r.fp for r in fitted.collect()], dtype=np.int64).view(np.uint64)
-    depth = min(DEEPEST, max(0, math.ceil(math.log2(max(1, points.count()) / shard))))
+    depth = math.ceil(math.log2(shards))
     masks = [block_mask(b, blocks) for b in range(blocks)]
     trees = [plant(seen, m, depth) for m in masks]
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = batch["fp"].to_numpy().view(np.uint64)
+        for own in gathered(batches):
             for b, (tree, mask) in enumerate(zip(trees, masks)):
                 homes, home = shards_of(own, tree, mask, 0)
                 home_of = np.empty(len(own), dtype=np.int64)
@@ -179,18 +207,20 @@ def links(points: DataFrame, distance: int = 3, blocks: int | None = None, sampl
                 yield pd.DataFrame({"tree": np.int32(b), "shard": path, "fp": own[at].view(np.int64), "lives": home_of[at] == path})
 
     routed = cut_lineage(points.select("fp").mapInPandas(route, "tree int, shard long, fp long, lives boolean"))
-    sizes = routed.groupBy("tree", "shard").count().withColumn("pieces", F.ceil(F.col("count") / cell).cast("int")).drop("count")
-    cut = routed.join(sizes, ["tree", "shard"]).withColumn("piece", F.pmod(F.xxhash64("fp"), "pieces").cast("int"))
-    cells = cut.select("tree", "shard", "fp", "lives", "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
-    pairs = cells.withColumns({"row": F.least("piece", "other"), "col": F.greatest("piece", "other")})
+    parts = lambda n: F.ceil(n / cell).cast("int")
+    sizes = routed.groupBy("tree", "shard").agg(parts(F.count_if("lives")).alias("owns"), parts(F.count("*")).alias("asks")).where("owns > 0")
+    met = routed.join(sizes, ["tree", "shard"])
+    part = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = met.select("tree", "shard", "fp", F.lit(False).alias("owned"), every("owns").alias("row"), part(F.col("asks")).alias("col"))
+    owned = met.where("lives").select("tree", "shard", "fp", F.lit(True).alias("owned"), part(F.col("owns")).alias("row"), every("asks").alias("col"))
 
     def connect(group: pd.DataFrame) -> pd.DataFrame:
-        own = group["fp"].to_numpy().view(np.uint64)
-        label = forest(own, distance)
-        linked = label != np.arange(len(own))
-        return pd.DataFrame({"a": own[linked].view(np.int64), "b": own[label[linked]].view(np.int64)})
+        own, queries = (group.loc[group["owned"] == x, "fp"].to_numpy().view(np.uint64) for x in (True, False))
+        a, b = forest(own, queries, distance) if len(own) and len(queries) else (own[:0], own[:0])
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return pairs.groupBy("tree", "shard", "row", "col").applyInPandas(connect, "a long, b long")
+    return owned.unionByName(asking).groupBy("tree", "shard", "row", "col").applyInPandas(connect, "a long, b long")
 
 
 def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, blocks: int | None = None) -> DataFrame:
