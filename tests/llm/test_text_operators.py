@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -153,6 +155,53 @@ def test_quality_base_counts(spark, sf_dir):
     assert quality.quality_report(df.limit(0)).count() == 0
 
 
+def kind(char: str) -> tuple:
+    if char in "\t\n\v\f\r ":
+        return ("break",)
+    group = unicodedata.category(char)
+    if group[0] != "L":
+        return (group[0],)
+    return ("L", "Ll" if group == "Ll" else "capital" if group in ("Lu", "Lt") else "none", sum(ord(char) >= end for end in (0x80, 0x250, 0x2E80)))
+
+
+def divergence(p: Counter, q: Counter) -> float:
+    """The root of the entropy of the middle beyond the mean of the entropies, in bits."""
+    if not sum(p.values()) or not sum(q.values()):
+        return 0.0
+    shares = [{k: v / sum(x.values()) for k, v in x.items() if v} for x in (p, q)]
+    middle = Counter({k: (shares[0].get(k, 0) + shares[1].get(k, 0)) / 2 for k in shares[0].keys() | shares[1].keys()})
+    entropy = lambda x: -sum(v * math.log2(v) for v in x.values() if v)
+    return math.sqrt(max(0.0, entropy(middle) - (entropy(shares[0]) + entropy(shares[1])) / 2))
+
+
+def test_quality_verdicts_equal_an_independent_divergence(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(quality, "HELD", 500)
+    rng = random.Random(8)
+    russian = ["и", "Привет", "мир", "не", "длинноеслово", "которые", "на", "что", "был", "ключ1"]
+    japanese = ["日本", "の", "東京", "です", "これは", "テスト", "漢字", "カナ"]
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rows += [(first + k, " ".join(rng.choices(w, weights=range(1, len(w) + 1), k=rng.randint(30, 90))), lang) for k in range(60) for first, w, lang in ((5000, russian, "ru"), (6000, japanese, "ja"))]
+    rows += [(9001, " ".join(rng.choices(japanese, k=200)), "ru"), (9002, " ".join(x.upper() for x in rng.choices(russian, k=200)), "ru"), (9003, " ".join(rng.choices(["qzx", "vvk"], k=200)), "en"), (9004, "ЫЫЫ " * 30, "few"), (9005, None, "ru")]
+    words, chars = {}, {}
+    low = lambda t: (t or "").lower().encode().split()
+    for _, t, lang in rows:
+        words.setdefault(lang, Counter()).update(low(t))
+        chars.setdefault(lang, Counter()).update(map(kind, t or ""))
+    found = {r.doc_id: r for r in quality.quality_report(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    for d, t, lang in rows:
+        r, n = found[d], len(low(t))
+        if sum(words[lang].values()) < 1000:
+            assert r.class_distance is None and r.word_distance is None and r.kept == (not r.base_failed)
+            continue
+        common = sorted(words[lang].items(), key=lambda x: (-x[1], x[0]))[:32]
+        share = lambda c: Counter({w: c[w] for w, _ in common} | {None: sum(c.values()) - sum(c[w] for w, _ in common)})  # noqa: B023, E731
+        far, word_far = divergence(Counter(map(kind, t or "")), chars[lang]), divergence(share(Counter(low(t))), share(words[lang]))
+        assert (r.class_distance, r.word_distance) == pytest.approx((far, word_far), abs=1e-6)
+        over = n and (far > 0.25 + 0.5 / math.sqrt(n) or word_far > 0.30 + 1 / math.sqrt(n))
+        assert r.kept == (not r.base_failed and not over)
+    assert {d for d in (9001, 9002, 9003) if found[d].class_distance > 0.25 or found[d].word_distance > 0.3} == {9001, 9002, 9003}
+
+
 def test_quality_keeps_clean_and_drops_foreign_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -1,7 +1,8 @@
 """Quality rules: base counts of each text, and how far its letters and common words lie from its language.
 
 A language's references are taken over all its documents: counts of character classes, and counts of its
-most frequent short words with one share for all other words. A document is compared with them by
+most frequent words, of any length and script, with one share for all other words. Classes are Unicode categories,
+letters told apart by case and by the part of the code space that they come from. A document is compared with both by
 Jensen-Shannon distance (base 2, so from 0 to 1). Short texts scatter widely, so each limit widens with
 one over the square root of the word count, and neither is applied under a least number of words, in a
 language with too little text, or where the language is null.
@@ -12,8 +13,10 @@ words go to the smaller word. Extra columns stay with ``filter_documents``.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,8 +27,10 @@ from waymill.llm.common import cut_lineage, fresh
 
 #: Words that a text needs; share of repeated words, in percent, that it may have.
 MIN_WORDS, MAX_REPEATED = 20, 30
-#: Common words of a language: how many, and the bytes that one may have.
-COMMON, COMMON_BYTES = 32, 5
+#: Common words of a language.
+COMMON = 32
+#: Distinct words that a task counts before it passes them on.
+HELD = 1 << 18
 #: Words that a language needs before its documents are compared.
 MIN_LANGUAGE_WORDS = 1000
 #: Limits are the first number plus the second over the square root of the number of words.
@@ -35,27 +40,39 @@ SMALL = 2000
 
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 WINDOW = 8
-#: Classes: lower case, capitals, digits, white space, punctuation, other ASCII, other letters; the last are bytes within a letter.
-LOWER, UPPER, DIGIT, SPACE, MARK, OTHER, WIDE, INSIDE = range(8)
-CLASSES = 7
+#: Classes: the white space that parts words, then letters by case (small, capital, neither) and part of the code
+#: space (ASCII, to the end of Latin, other alphabets, from the ideographs on), then marks, digits, other spaces,
+#: punctuation, symbols and what is left.
+SPACES = "\t\n\v\f\r "
+PARTS = (0x80, 0x250, 0x2E80)
+BREAK, LETTER, MARK = 0, 1, 1 + 3 * (len(PARTS) + 1)
+OTHERS = {"M": MARK, "N": MARK + 1, "Z": MARK + 2, "P": MARK + 3, "S": MARK + 4, "C": MARK + 5}
+CLASSES = MARK + len(OTHERS)
 
 
-def class_of(byte: int) -> int:
-    c = chr(byte)
-    if byte >= 0x80:
-        return WIDE if byte >= 0xC0 else INSIDE
-    if c in "\t\n\v\f\r ":
-        return SPACE
-    if c.isalpha():
-        return LOWER if c.islower() else UPPER
-    return DIGIT if c.isdigit() else MARK if c in ".,;:'\"?!()-" else OTHER
+def class_of(char: str) -> int:
+    kind = unicodedata.category(char)
+    if char in SPACES:
+        return BREAK
+    if kind[0] != "L":
+        return OTHERS[kind[0]]
+    case = 0 if kind == "Ll" else 1 if kind in ("Lu", "Lt") else 2
+    return LETTER + 3 * sum(ord(char) >= end for end in PARTS) + case
 
 
-CLASS_OF = np.array([class_of(b) for b in range(256)], dtype=np.intp)
+@lru_cache(maxsize=1)
+def classes() -> np.ndarray:
+    """The class of each code point, as a table that a worker makes once."""
+    return np.array([class_of(chr(c)) for c in range(0x110000)], dtype=np.uint8)
 
 
-def class_counts(text: bytes) -> np.ndarray:
-    return np.bincount(CLASS_OF[np.frombuffer(text, dtype=np.uint8)], minlength=8)
+def class_counts(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    return np.bincount(classes()[points], minlength=CLASSES)
+
+
+def lowered(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8").split()
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -92,24 +109,34 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 def tallies(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, key, n: words (key "n"), characters of each class ("c0" on) and short words ("w" and the word)."""
+    """lang, key, n: words (key "n"), characters of each class ("c0" on) and each word ("w" and the word)."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[tuple[str, str]] = Counter()
+
+        def passed() -> pd.DataFrame:
+            out = pd.DataFrame({"lang": [k[0] for k in counts], "key": [k[1] for k in counts], "n": list(counts.values())})
+            counts.clear()
+            return out
+
         for batch in batches:
-            rows = []
             for lang, texts in batch.groupby("lang"):
                 words: Counter[bytes] = Counter()
-                classes, n = np.zeros(8, dtype=np.int64), 0
+                chars, n = np.zeros(CLASSES, dtype=np.int64), 0
                 for text in texts["text"]:
-                    raw = text.encode("utf-8")
-                    found = raw.lower().split()
-                    classes += class_counts(raw)
-                    words.update(w for w in found if len(w) <= COMMON_BYTES)
+                    found = lowered(text)
+                    chars += class_counts(text)
+                    words.update(found)
                     n += len(found)
-                rows.append((lang, "n", n))
-                rows += [(lang, f"c{k}", int(v)) for k, v in enumerate(classes[:CLASSES])]
-                rows += [(lang, "w" + w.decode("utf-8"), v) for w, v in words.items()]
-            yield pd.DataFrame(rows, columns=["lang", "key", "n"])
+                counts[lang, "n"] += n
+                for k, v in enumerate(chars.tolist()):
+                    counts[lang, f"c{k}"] += v
+                for w, v in words.items():
+                    counts[lang, "w" + w.decode("utf-8")] += v
+            if len(counts) > HELD:
+                yield passed()
+        if counts:
+            yield passed()
 
     known = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     return known.mapInPandas(tally, "lang string, key string, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
@@ -121,7 +148,7 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
     common = (
         counts.where(F.col("key").startswith("w")).withColumn("rank", rank).where(F.col("rank") <= COMMON)
-        .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", F.substring("key", 2, COMMON_BYTES).alias("word"), "n"))).alias("common"))
+        .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", F.expr("substring(key, 2)").alias("word"), "n"))).alias("common"))
     )
     of = lambda key: F.max(F.when(F.col("key") == key, F.col("n")))
     totals = (
@@ -149,15 +176,16 @@ def features(text: Column, common_words: Column, word_counts: Column, class_coun
         for batch in batches:
             out = []
             for text, common, word_ref, class_ref in zip(*batch):
-                raw = (text or "").encode("utf-8")
-                words, classes = raw.split(), class_counts(raw)
+                text = text or ""
+                raw = text.encode("utf-8")
+                words, chars = raw.split(), class_counts(text)
                 far = word_far = None
                 if class_ref is not None:
-                    far = distance(classes[:CLASSES], np.asarray(class_ref))
-                    seen = Counter(raw.lower().split())
+                    far = distance(chars, np.asarray(class_ref))
+                    seen = Counter(lowered(text))
                     mine = np.array([seen[w.encode("utf-8")] for w in common])
                     word_far = distance(np.append(mine, len(words) - mine.sum()), np.asarray(word_ref))
-                out.append((len(words), int(classes.sum() - classes[SPACE] - classes[INSIDE]), sum(map(raw.count, SYMBOLS)), repeated_lines(raw), repeated_words(words), far, word_far))
+                out.append((len(words), int(chars.sum() - chars[BREAK]), sum(map(raw.count, SYMBOLS)), repeated_lines(raw), repeated_words(words), far, word_far))
             yield pd.DataFrame(out, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance"])
 
     return measure(text, common_words, word_counts, class_counts_)
