@@ -1,7 +1,8 @@
-"""What the corpus operators share: reading, naming, materialising and batch sizes."""
+"""What the corpus operators share: reading, naming and materialising."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,24 +12,18 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of an Arrow batch that carries whole texts to a Python worker.
-TEXT_ROWS = 1000
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Bounds the rows of Arrow batches, so that a batch of long texts fits a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; on one machine a new one where it is unset."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: executors need a folder that all of them can read")
         found = tempfile.mkdtemp(prefix="waymill-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)

@@ -1,8 +1,9 @@
 """Token counts for a word-end BPE vocabulary with a whole-token shortcut.
 
-Offline, every vocabulary string that can be a whole pre-token is encoded on its own; those that come out
-as one token form the shortcut table. A text is normalised and cut into pre-tokens; those in the table
-count one each, only the rest are merged, and a worker remembers the rest's counts.
+Offline, on the driver and once for a vocabulary, every vocabulary string that can be a whole pre-token is
+encoded on its own; those that come out as one token form the shortcut table, which goes to the workers. A text
+is normalised and cut into pre-tokens; those in the table count one each, only the rest are merged, and a worker
+remembers the rest's counts. Long pre-tokens are merged by a heap, in time about proportional to their length.
 
 Null texts count as empty: no bytes, no tokens. Texts are never shortened. A text that holds the string of
 a special token is cut there, as the tokenizer does by default: each such string is one token.
@@ -10,6 +11,7 @@ a special token is cut there, as the tokenizer does by default: each such string
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -18,11 +20,14 @@ from functools import lru_cache
 import pandas as pd
 import public_tokenizers
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 REMEMBERED = 120_000
+#: Letters of a pre-token from which a heap is quicker than looking at all pairs.
+LONG = 48
 END = "</w>"
 
 
@@ -36,7 +41,7 @@ def byte_letters() -> list[str]:
 class Counter:
     """Merges and special strings of one vocabulary file, and its shortcut table."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, single: frozenset[str] | None = None):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -47,7 +52,7 @@ class Counter:
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self.single = self.prove_single(model["vocab"])
+        self.single = self.prove_single(model["vocab"]) if single is None else single
         self.extra = lru_cache(maxsize=REMEMBERED)(self._extra)
 
     def prove_single(self, vocabulary: dict[str, int]) -> frozenset[str]:
@@ -70,6 +75,8 @@ class Counter:
         letters, rank, none = self.letters, self.rank.get, self.none
         parts = [letters[b] for b in piece.encode("utf-8")]
         parts[-1] += END
+        if len(parts) > LONG:
+            return self.merge_long(parts)
         ranks = [rank(p, none) for p in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
@@ -84,6 +91,28 @@ class Counter:
                 ranks[at - 1] = rank((parts[at - 1], whole), none)
         return parts
 
+    def merge_long(self, parts: list[str]) -> list[str]:
+        """The same by a heap of pairs; a pair whose parts have been merged since is passed over."""
+        rank, n = self.rank.get, len(parts)
+        live: list[str | None] = list(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (r := rank(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, (left, right) = heapq.heappop(heap)
+            j = after[i]
+            if live[i] != left or j >= n or live[j] != right:
+                continue
+            live[i], live[j], after[i] = left + right, None, after[j]
+            for a in (before[i], i):
+                b = after[a] if a >= 0 else n
+                if b < n:
+                    before[b] = a
+                    pair = (live[a], live[b])
+                    if (r := rank(pair)) is not None:
+                        heapq.heappush(heap, (r, a, pair))
+        return [x for x in live if x is not None]
+
     def _extra(self, piece: str) -> int:
         """Tokens of a pre-token beyond one."""
         return 0 if piece in self.single else len(self.merge(piece)) - 1
@@ -105,17 +134,25 @@ class Counter:
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> Counter:
-    return Counter(path)
+def proven(path: str) -> frozenset[str]:
+    """The shortcut table of a vocabulary."""
+    return Counter(path).single
+
+
+@lru_cache(maxsize=1)
+def counter(path: str, table: Broadcast | None = None) -> Counter:
+    """One per worker process, which Spark keeps for many tasks; without a table it is proven here."""
+    return Counter(path, table.value if table else None)
 
 
 def token_count(text: Column, vocabulary: str | None = None) -> Column:
     """Tokens of a text column as bigint."""
     path = vocabulary or public_tokenizers.path(DEFAULT_VOCABULARY)
+    table = SparkSession.active().sparkContext.broadcast(proven(path))
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = counter(path)
+        c = counter(path, table)
         for batch in texts:
             yield pd.Series([c.count(x) if x else 0 for x in batch], dtype="int64")
 
