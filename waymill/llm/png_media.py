@@ -3,7 +3,8 @@
 ``to_png`` lays a payload out as 8-bit grey samples, 64 to a row. ``from_png`` tests signature, chunk
 lengths and checksums, inflates, undoes the five row filters and returns the samples with a 64-bit hash of
 the image's low cosine frequencies. Null and empty payloads become one row of zero bytes. A damaged or
-foreign image gives a null payload and feature and a message in ``error``; null media give all three null.
+foreign image, or one of more than ``MOST_SAMPLES``, whatever its bytes are, gives a null payload and feature and a
+message in ``error``; null media give all three null. Inflating stops at the size that the header gives.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
 LEVEL = 6
+#: Samples that an image may have to be read: what inflating may at most take.
+MOST_SAMPLES = 1 << 30
 #: Samples a side of the picture that is transformed, and low frequencies a side that are kept.
 SIDE, LOW = 32, 8
 _k = np.arange(LOW)[:, None]
@@ -99,6 +102,8 @@ def decode_png(media: bytes) -> np.ndarray:
         if struct.unpack_from(">I", media, at + 8 + size)[0] != zlib.crc32(data, zlib.crc32(kind)):
             raise ValueError(f"checksum of {kind!r}")
         if kind == b"IHDR":
+            if header is not None or size != 13:
+                raise ValueError("header twice or of another length")
             header = struct.unpack(">IIBBBBB", data)
         elif kind == b"IDAT":
             body.append(data)
@@ -109,11 +114,14 @@ def decode_png(media: bytes) -> np.ndarray:
     width, height, *form = header
     if form != [8, 0, 0, 0, 0]:
         raise ValueError("not plain 8-bit grey")
+    if not width or not height or width * height > MOST_SAMPLES:
+        raise ValueError(f"{width} x {height} samples")
+    size, inflate = height * (width + 1), zlib.decompressobj()
     try:
-        raw = zlib.decompress(b"".join(body))
+        raw = inflate.decompress(b"".join(body), size + 1)
     except zlib.error as broken:
         raise ValueError(str(broken)) from broken
-    if len(raw) != height * (width + 1):
+    if len(raw) != size or not inflate.eof:
         raise ValueError("wrong amount of samples")
     return unfilter(np.frombuffer(raw, dtype=np.uint8).reshape(height, width + 1))
 
