@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from waymill.llm.common import WORD, cut_lineage, fresh
 
 MOST_COPIES = 3
-#: Newton steps at most, and the relative gap to the target at which they end; rounding settles the rest.
-STEPS, GAP = 40, 1e-7
+#: The relative gap to the target at which Newton's steps end; rounding settles the rest. Steps from which the
+#: bracket is halved instead, which surely ends; steps at most, beyond which it is an error.
+GAP, NEWTON, STEPS = 1e-7, 30, 120
 #: Documents that share a salted piece on average in a source that holds all rows.
 PIECE = 100_000
 #: Sources whose state is surely small enough to send to every task.
@@ -37,27 +38,35 @@ def n_words(text: Column) -> Column:
 
 
 def cyclic_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """Adds weight: the given ones by source in code point order, null last, repeating. One row per source."""
-    order = Window.orderBy(*KEY)
-    return sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1))
+    """Adds weight: the given ones by source in code point order, null last, repeating. One row per source.
+
+    Sources are sorted by ranges, each range counts on from those before it, so no task holds them all.
+    """
+    part, at, first = fresh("part"), fresh("at"), fresh("first")
+    ranges = cut_lineage(sources.repartitionByRange(*KEY).withColumn(part, F.spark_partition_id()))
+    sizes = ranges.groupBy(part).agg(F.count("*").alias(at))
+    starts = sizes.select(part, (F.sum(at).over(Window.orderBy(part)) - F.col(at)).alias(first))
+    placed = ranges.withColumn(at, F.row_number().over(Window.partitionBy(part).orderBy(*KEY)) - 1).join(starts, part)
+    return placed.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col(at) + F.col(first), F.lit(len(weights))) + 1).cast("int"))).drop(part, at, first)
 
 
 def capped_shares(sources: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """Adds target: all words shared by weight, at most ``most`` times a source's own; what is over goes to the others.
 
-    In order of cap over weight, a source is capped if its share of what the capped ones before it leave is
-    over its cap; all later ones then share by weight. One row per source, so one task sorts few rows.
+    Each round shares what the capped sources leave among the others by weight, and caps those whose share is
+    over their cap, until none is; sums are of integers and each round is one grouping.
     """
-    order = Window.orderBy(F.col("cap") / F.col("weight"), *KEY)
-    before, all_rows = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    spread = sources.withColumn("cap", most * F.col("source_size")).withColumn("total", F.sum("source_size").over(all_rows))
-    left = F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    rest = F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    full = spread.withColumn("full", left * F.col("weight") >= F.col("cap") * rest)
-    free = F.col("total") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(all_rows), F.lit(0))
-    weights = F.sum(F.when(~F.col("full"), F.col("weight"))).over(all_rows)
-    share = free.cast("double") * F.col("weight") / weights
-    return full.withColumn("target", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(share)).drop("cap", "total", "full")
+    cap = most * F.col("source_size")
+    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    level, capped = None, -1
+    while True:
+        # free words to a unit of weight, as a fraction of integers, so that equal shares compare equal
+        full = F.lit(False) if level is None else F.lit(level[0]).cast("decimal(38,0)") * F.col("weight") >= cap.cast("decimal(38,0)") * F.lit(level[1])
+        row = sources.agg(F.count_if(full).alias("n"), F.coalesce(F.sum(F.when(full, cap)), F.lit(0)).alias("taken"), F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0)).alias("weights")).first()
+        if row.n == capped or not row.weights:
+            share = F.lit(float(total - row.taken)) * F.col("weight") / F.lit(max(1, row.weights))
+            return sources.withColumn("target", F.when(full, cap.cast("double")).otherwise(share))
+        level, capped = (int(total - row.taken), int(row.weights)), row.n
 
 
 def rate(slope: Column, size: Column, most: int) -> Column:
@@ -76,7 +85,7 @@ def solve(cells: DataFrame, sources: DataFrame, most: int = MOST_COPIES) -> Data
     state = cut_lineage(active.select(*KEY, "source_size", "target", low.alias("low"), high.alias("high"), (F.log(ratio) / mean).alias("slope")))
     small = state.count() <= SMALL
     table = cells.where("size > 0")
-    for _ in range(STEPS):
+    for step in range(STEPS):
         met = table.join(F.broadcast(state) if small else state, KEY)
         words = (F.col("n") * F.col("size") * rate(F.col("slope"), F.col("size"), most)).cast(EXACT)
         free = F.exp(F.col("slope") * F.col("size"))
@@ -85,13 +94,16 @@ def solve(cells: DataFrame, sources: DataFrame, most: int = MOST_COPIES) -> Data
         over = F.col("words") > F.col("target")
         bounded = sums.withColumn("low", F.when(over, F.col("low")).otherwise(F.col("slope"))).withColumn("high", F.when(over, F.col("slope")).otherwise(F.col("high")))
         newton = F.col("slope") - (F.col("words") - F.col("target")) / F.when(F.col("steep") > 0, F.col("steep"))
-        inside = (newton > F.col("low")) & (newton < F.col("high"))
-        done = F.abs(F.col("words") - F.col("target")) <= GAP * F.col("target")
+        inside = (newton > F.col("low")) & (newton < F.col("high")) & F.lit(step < NEWTON)
+        narrow = F.col("high") - F.col("low") <= 1e-15 * F.greatest(F.abs("low"), F.abs("high"))
+        done = (F.abs(F.col("words") - F.col("target")) <= GAP * F.col("target")) | narrow
         moved = F.when(done, F.col("slope")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2)
         state = cut_lineage(bounded.select(*KEY, "source_size", "target", "low", "high", moved.alias("slope"), done.alias("done")))
         if state.where("NOT done").isEmpty():
             break
         state = state.drop("done")
+    else:
+        raise RuntimeError(f"no solution after {STEPS} steps")
     return sources.join(state.select(*KEY, "slope"), KEY, "left")
 
 
@@ -135,7 +147,7 @@ def mix(df: DataFrame, id_col: str, size_col: str, key_col: str, weights: tuple[
     pieces = cut_lineage(keyed.groupBy(F.col(none).alias("none"), F.col(src).alias("src"), F.col(size).alias("size"), F.col(salt).alias("salt")).agg(F.count("*").alias("in_piece")))
     cells = cut_lineage(pieces.groupBy(*KEY, "size").agg(F.sum("in_piece").alias("n")))
     sources = cells.groupBy(*KEY).agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    solved = cut_lineage(solve(cells, cut_lineage(capped_shares(cyclic_weights(sources, weights), most).drop("weight")), most))
+    solved = cut_lineage(solve(cells, cut_lineage(capped_shares(cut_lineage(cyclic_weights(sources, weights)), most).drop("weight")), most))
     dealt = pieces.join(settled(cells, solved, most), [*KEY, "size"])
     before = F.coalesce(F.sum("in_piece").over(Window.partitionBy(*KEY, "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     share = lambda upto: F.expr("copies % n").cast("decimal(19,0)") * upto.cast("decimal(19,0)") / F.col("n")
