@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -251,6 +252,34 @@ def test_secrets_of_odd_rows(spark, odd):
     assert secrets.secret_report(odd.limit(0)).count() == 0 and secrets.redact(odd.limit(0)).count() == 0
 
 
+def test_masks_equal_brute_force(spark):
+    """Spans that overlap, touch, and lie across the blocks in which a text is cut."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(60):
+        text = "".join(rng.choice(list("abcé😀 \n"), rng.integers(1, 6000)))
+        found = sorted((int(a), int(min(a + n, len(text)))) for a, n in zip(rng.integers(0, len(text), 40), rng.integers(1, 300, 40)))
+        want, at = [], 0
+        for a, b in found:
+            if a >= at:
+                want += [text[at:a], "[secret]"]
+            at = max(at, b)
+        rows.append((k, text, found, "".join(want) + text[at:]))
+    df = spark.createDataFrame(rows, "id long, text string, found array<struct<start:int,end:int>>, want string")
+    assert df.where(secrets.masked(F.col("text"), F.col("found")) != F.col("want")).count() == 0
+
+
+def test_many_matches_in_one_text_take_seconds(spark):
+    text = "".join(f"token=Ab{k:06d}xyz é " for k in range(100_000))
+    df = spark.createDataFrame([(1, text, "s"), (2, "x" * 1_000_000 + " token=abcdefgh", "s")], SCHEMA)
+    began = time.monotonic()
+    rows = {r.doc_id: r for r in secrets.secret_report(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert rows[1].n_assign == 100_000 and rows[1].base_sha256 == hashlib.sha256(brute_spans(text)[1].encode()).hexdigest()
+    assert clean == {1: "[secret] é " * 100_000, 2: "x" * 1_000_000 + " [secret]"}
+    assert time.monotonic() - began < 90
+
+
 # URLs
 
 

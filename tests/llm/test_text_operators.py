@@ -4,6 +4,8 @@ import base64
 import hashlib
 import math
 import random
+import struct
+import time
 import unicodedata
 import zlib
 from collections import Counter
@@ -12,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from waymill.llm import byte_bpe, png_media, quality, word_tokens
@@ -74,6 +77,44 @@ def test_token_counts_equal_the_library(spark):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((ODD[r.doc_id] or "").encode()), n, n > 2048)
 
 
+def test_long_pre_tokens_take_time_in_proportion():
+    counter = word_tokens.counter(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(6)
+    for n in (49, 200, 3000):
+        word = "".join(rng.choices("abcdefgh", k=n))
+        short = word_tokens.Counter.merge
+        long, word_tokens.LONG = word_tokens.LONG, 10**9
+        want = short(counter, word)
+        word_tokens.LONG = long
+        assert counter.merge(word) == want
+    began = time.monotonic()
+    assert counter.count("".join(rng.choices("abcdefgh", k=1_000_000))) > 100_000
+    assert time.monotonic() - began < 60
+
+
+def test_token_counts_of_no_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 7), (1, "a b", 7)], "doc_id long, text string, n_tokens int")
+    assert [tuple(r) for r in word_tokens.token_counts(df).collect()] == [(1, 3, 2, False)] * 2
+    assert word_tokens.token_counts(df.limit(0)).count() == 0
+
+
+def test_any_bytes_are_read_or_refused(spark):
+    rng = random.Random(9)
+    good = png_media.encode_png(np.arange(640, dtype=np.uint32).astype(np.uint8).reshape(-1, 64))
+    head = lambda data: png_media.SIGNATURE + png_media.chunk(b"IHDR", data) + png_media.chunk(b"IDAT", zlib.compress(bytes(65))) + png_media.chunk(b"IEND", b"")
+    size = lambda w, h: head(struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0))
+    odd = [head(b""), head(bytes(13)), head(bytes(14)), size(64, 0), size(0, 1), size(1 << 31, 1 << 31), size(64, 2), size(32, 1), png_media.SIGNATURE, b"", png_media.SIGNATURE + png_media.chunk(b"IEND", b""), good[:-1]]
+    for _ in range(300):
+        image = bytearray(good)
+        for _ in range(rng.randint(1, 4)):
+            image[rng.randrange(len(image))] = rng.randrange(256)
+        at = rng.randrange(8, len(image))
+        odd += [bytes(image), good[:at], png_media.SIGNATURE + rng.randbytes(60), png_media.SIGNATURE + png_media.chunk(b"IHDR", rng.randbytes(13)) + png_media.chunk(b"IDAT", zlib.compress(rng.randbytes(130)))+ png_media.chunk(b"IEND", b"")]
+    rows = spark.createDataFrame([(x,) for x in [*odd, size(64, 1), good]], "media binary").select(png_media.from_png(F.col("media")).alias("x")).select("x.*").collect()
+    assert all((r.error is None) != (r.payload is None) for r in rows)
+    assert sum(r.error is None for r in rows[: len(odd)]) < 10 and all(r.error is None for r in rows[-2:])
+
+
 def test_shortcut_strings_are_single_tokens():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     single = sorted(word_tokens.counter(public_tokenizers.path("word_bpe_49k.json")).single)
