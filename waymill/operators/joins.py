@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymill.operators.common import distinct_key, materialised
+from waymill.operators.common import distinct_key, fresh, materialised
 
 
 def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Column:
@@ -55,8 +55,9 @@ def enrich(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]
 
 def unique_only(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs once; ambiguous and null keys go altogether."""
-    counted = df.dropna(subset=keys).withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
-    return counted.where("__n = 1").drop("__n")
+    (n,) = fresh(df, "n")
+    counted = df.dropna(subset=keys).withColumn(n, F.count("*").over(Window.partitionBy(*keys)))
+    return counted.where(F.col(n) == 1).drop(n)
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,9 +67,10 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def checked_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """A join whose right side must have each key once: a repeated one fails while the join runs."""
-    once = right.withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
+    (n,) = fresh(right, "n")
+    once = right.withColumn(n, F.count("*").over(Window.partitionBy(*keys)))
     told = F.raise_error(F.concat(F.lit("key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys])))
-    return left.join(once.where(F.when(F.col("__n") == 1, True).otherwise(told.cast("boolean"))).drop("__n"), keys, how)
+    return left.join(once.where(F.when(F.col(n) == 1, True).otherwise(told.cast("boolean"))).drop(n), keys, how)
 
 
 def not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -80,48 +82,69 @@ def not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, cond, "left_anti")
 
 
-def paths(nodes: DataFrame, id_col: str, name_col: str, parent_col: str, mark: str = " > ", deepest: int = 32) -> DataFrame:
-    """id, path (names from the root), depth of every node that a root reaches, level by level."""
+def paths(nodes: DataFrame, id_col: str, name_col: str, parent_col: str, mark: str = " > ") -> DataFrame:
+    """id, path (names from the root), depth of every node that a root reaches, level by level, however deep.
+
+    Nodes of a circle that no root reaches have no path; a circle that one reaches, by an id with two parents, is an error.
+    """
     plain = nodes.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"), F.col(parent_col).alias("parent"))
     level = materialised(plain.where("parent IS NULL").select("id", F.col("name").alias("path"), F.lit(1).alias("depth")))
-    out = level
-    for depth in range(2, deepest + 1):
+    out, depth, most = level, 1, None
+    while True:
+        depth += 1
         up = level.select(F.col("id").alias("parent"), F.col("path").alias("above"))
         level = materialised(plain.join(up, "parent").select("id", F.concat_ws(mark, "above", "name").alias("path"), F.lit(depth).alias("depth")))
         if level.isEmpty():
-            break
+            return out
+        most = plain.count() if most is None else most
+        if depth > most:
+            raise ValueError("nodes go round in a circle")
         out = out.unionByName(level)
-    return out
 
 
-def routed(items: DataFrame, rules: DataFrame, name: str, pattern: str, target: str, text: str) -> DataFrame:
-    """Items with each rule whose pattern is found in their text; how many fit is counted, so that 0 or more than 1 can be told."""
-    met = items.join(F.broadcast(rules.select(F.col(name).alias("rule"), F.col(pattern).alias("__pattern"), F.col(target).alias("target"))), F.expr(f"regexp_like({text}, __pattern)"), "left")
-    return met.drop("__pattern").withColumn("n_rules", F.count("rule").over(Window.partitionBy(*items.columns)))
+def routed(items: DataFrame, rules: DataFrame, name: str, pattern: str, target: str, text: str, most_rules: int = 10_000) -> DataFrame:
+    """Items with each rule whose pattern is found in their text; n_rules tells how many fit, so that 0 or more than 1 can be told.
+
+    Patterns are tried on each different text once, so repeated items don't count twice. Rules are configuration:
+    all of them go to every task, more than ``most_rules`` are an error.
+    """
+    own = rules.select(F.col(name).alias("rule"), F.col(pattern).alias("pattern"), F.col(target).alias("target"))
+    if own.count() > most_rules:
+        raise ValueError(f"more than {most_rules} rules")
+    text_key, n_rules = fresh(items, "text", "n")
+    met = items.select(F.col(text).alias(text_key)).distinct().join(F.broadcast(own), F.expr(f"regexp_like({text_key}, pattern)"))
+    hits = met.withColumn(n_rules, F.count("rule").over(Window.partitionBy(text_key))).drop("pattern")
+    joined = items.join(hits, items[text] == hits[text_key], "left")
+    return joined.select(*[items[c] for c in items.columns], "rule", "target", F.coalesce(n_rules, F.lit(0)).alias("n_rules"))
 
 
 def nearest(points: DataFrame, places: DataFrame, id_col: str, x: str, y: str, place: str, px: str, py: str, cell: float, rings: int = 4) -> DataFrame:
-    """id, place, distance: the planar nearest place of each point, ties to the smaller place.
+    """id, place, distance: the planar nearest place of each point, however far, ties to the smaller place.
 
     Points and places meet by grid cell: a place is put in the nine cells around its own, so any place within
-    one cell's width is met; what is nearer than that is certain. Points left over go on with a cell ten
-    times as wide; the
-    widest ring (``cell`` times ten to the power of ``rings`` less one) must span the map.
+    one cell's width is met; what is nearer than that is certain. Points left over go on with a cell ten times as
+    wide; after so many rings the last one's cell spans the map, where every place is met. Points and places
+    without two finite coordinates have no answer and are none.
     """
-    left = materialised(points.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y")))
-    q = materialised(places.select(F.col(place).alias("place"), F.col(px).alias("px"), F.col(py).alias("py")))
+    finite = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))
+    left = materialised(points.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(finite("x", "y")))
+    q = materialised(places.select(F.col(place).alias("place"), F.col(px).cast("double").alias("px"), F.col(py).cast("double").alias("py")).where(finite("px", "py")))
+    both = left.select("x", "y").union(q.select("px", "py")).agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    span = max(cell, *(v or 0.0 for v in both)) * (1 + 1e-9)
     out, size = None, cell
-    for ring in range(rings):
+    for ring in range(rings + 1):
+        last = ring == rings or size >= span
+        size = span if last else size
         off = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
         cells = q.withColumn("dx", off).withColumn("dy", off).select("place", "px", "py", (F.floor(F.col("px") / size) + F.col("dx")).alias("cx"), (F.floor(F.col("py") / size) + F.col("dy")).alias("cy"))
         own = left.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
         gap = F.sqrt((F.col("px") - F.col("x")) ** 2 + (F.col("py") - F.col("y")) ** 2)
         met = own.join(cells, ["cx", "cy"]).withColumn("distance", gap)
         best = met.groupBy("id").agg(F.min(F.struct("distance", "place")).alias("b")).select("id", "b.place", "b.distance")
-        sure = materialised(best if ring == rings - 1 else best.where(F.col("distance") <= size))
+        sure = materialised(best if last else best.where(F.col("distance") <= size))
         out = sure if out is None else out.unionByName(sure)
         left, size = left.join(sure, "id", "left_anti"), size * 10
-        if left.isEmpty():
+        if last or left.isEmpty():
             break
     return out
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 SOCIAL_RATE, CORPORATE_RATE = 0.48, 0.25
 #: Kilometres a day and kg of CO2 a km of a rental car.
 RENTAL_KM_DAY, RENTAL_CO2_KM = 50, 0.1175
+#: kg of CO2 and euros a km of a taxi; what is taken off a fare, below zero as in the figures that must agree.
+TAXI_CO2_KM, TAXI_EUR_KM, TAXI_BASE = 0.1755, 1.27, -4.4
 OPERATORS = {"+": "+", "-": "-", "x": "x", "*": "x", "/": "/", "PLUS": "+", "MINUS": "-", "TIMES": "x", "DIVIDE": "/"}
-#: Amount column of each view of an expense.
+#: Amount column of each view of an expense; claims have the same under ``claim_``, accident costs under ``cost_``.
 TAX_VIEWS = {"tax_exc": "amount_tax_exc", "deduc_vat": "deductible_vat", "net": "net_amount"}
 
 Primitive = Callable[[dict], Column]
@@ -21,9 +23,9 @@ def money(c: str) -> Column:
     return F.col(c).cast("decimal(18,4)")
 
 
-def expense(e: dict) -> Column:
-    """Sum of an amount over the listed categories; one category may stand alone."""
-    return F.sum(F.when(of_kinds(e, "category"), money(TAX_VIEWS[e.get("kpi_type", "net")]))).cast("double")
+def amounts(key: str, prefix: str = "") -> Primitive:
+    """Sum of the amount of a view over rows of the element's kinds; one kind may stand alone."""
+    return lambda e: F.sum(F.when(of_kinds(e, key), money(prefix + TAX_VIEWS[e.get("kpi_type", "net")]))).cast("double")
 
 
 def total(column: str) -> Primitive:
@@ -49,16 +51,14 @@ def count_of(key: str) -> Primitive:
 
 #: Aggregates over a perimeter and period, by element type; columns are those of the fact table given to ``evaluate``.
 PRIMITIVES: dict[str, Primitive] = {
-    "expense": expense,
-    "expense-claims": expense,
-    "insurance": sum_of("payer", "cost"),
-    "travel-expenses": sum_of("travel_type", "net_amount"),
+    "expense": amounts("category"),
+    "expense-claims": amounts("claim_category", "claim_"),
+    "insurance": amounts("payer", "cost_"),
+    "travel-expenses": amounts("travel_type"),
     "travel-distance": sum_of("travel_type", "distance"),
     "travel-occurrences": count_of("travel_type"),
-    "travel-anticipation": lambda e: F.avg(F.datediff("travel_date", "booking_date")),
+    "travel-anticipation": lambda e: F.avg(F.when(of_kinds(e, "travel_type"), F.datediff("travel_date", "booking_date"))),
     "rental-cars-days": total("rental_days"),
-    "total-mileage": lambda e: (F.max("mileage") - F.min("mileage")).cast("double"),
-    "current-mileage": lambda e: F.max_by("mileage", "mileage_date").cast("double"),
     "lease-mileage": total("lease_mileage"),
     "lease-months": total("lease_months"),
     "total-vehicles": distinct("vehicle_id"),
@@ -81,6 +81,12 @@ PRIMITIVES: dict[str, Primitive] = {
     "CO2-trains": total("co2_trains"),
     "CO2-planes": total("co2_planes"),
 }
+#: Aggregates over one vehicle's readings, summed over the vehicles of a perimeter: its span, and its latest reading
+#: (the largest of a day). Rows without vehicle or reading don't count.
+BY_VEHICLE: dict[str, Callable[[], Column]] = {
+    "total-mileage": lambda: F.max("mileage") - F.min("mileage"),
+    "current-mileage": lambda: F.max(F.struct("mileage_date", "mileage"))["mileage"],
+}
 
 
 def elements(tree: dict) -> Iterable[dict]:
@@ -110,10 +116,20 @@ def compiled(tree: dict, implied: str = "x") -> Column:
 
 
 def evaluate(facts: DataFrame, perimeter: list[str], formulas: dict[str, dict]) -> DataFrame:
-    """One row per perimeter, one column per formula: each distinct primitive is aggregated once, in one grouping."""
+    """One row per perimeter, one column per formula: each distinct primitive is aggregated once, in one grouping.
+
+    Odometers are taken by vehicle first, in a grouping of their own that is joined by the perimeter, nulls equal.
+    """
     leaves = {name_of(e): e for tree in formulas.values() for e in elements(tree) if e["type"] != "constant"}
-    needed = [PRIMITIVES[e["type"]](e).alias(n) for n, e in leaves.items()]
-    return facts.groupBy(*perimeter).agg(*needed).select(*perimeter, *[compiled(t).alias(k) for k, t in formulas.items()])
+    needed = [PRIMITIVES[e["type"]](e).alias(n) for n, e in leaves.items() if e["type"] not in BY_VEHICLE]
+    grouped = facts.groupBy(*perimeter).agg(*needed or [F.count("*").alias("n_facts")])
+    odometers = {n: e["type"] for n, e in leaves.items() if e["type"] in BY_VEHICLE}
+    if odometers:
+        each = facts.where("vehicle_id IS NOT NULL AND mileage IS NOT NULL").groupBy(*perimeter, "vehicle_id").agg(*[BY_VEHICLE[t]().alias(n) for n, t in odometers.items()])
+        summed_ = each.groupBy(*[F.col(c).alias(f"{c} of vehicles") for c in perimeter]).agg(*[F.sum(money(f"`{n}`")).cast("double").alias(n) for n in odometers])
+        same = [F.col(c).eqNullSafe(F.col(f"`{c} of vehicles`")) for c in perimeter]
+        grouped = grouped.join(summed_, same, "left") if same else grouped.crossJoin(summed_)
+    return grouped.select(*perimeter, *[compiled(t).alias(k) for k, t in formulas.items()])
 
 
 def constant(value: float) -> dict:
@@ -140,41 +156,98 @@ def summed(parts: list[dict]) -> dict:
     return out
 
 
-def catalogue(rents: dict[str, list[str]], energies: dict[str, list[str]], insurances: dict[str, list[str]], others: dict[str, list[str]], claims: dict[str, list[str]], travels: list[str]) -> dict[str, dict]:
-    """The whole catalogue from the categories of a fleet: components, totals, taxes, ownership, mobility, CO2 and ratios."""
-    out: dict[str, dict] = {}
+class Catalogue(dict):
+    """Formulas by name; a name may be given once."""
+
+    def __setitem__(self, name: str, tree: dict) -> None:
+        if name in self:
+            raise ValueError(f"KPI {name} is there already")
+        super().__setitem__(name, tree)
+
+    def add(self, formulas: dict[str, dict]) -> None:
+        for name, tree in formulas.items():
+            self[name] = tree
+
+
+IKB = ("ikb_purchase_with_fuel", "ikb_purchase_without_fuel", "ikb_expense_with_fuel", "ikb_expense_without_fuel", "ikb_calculated_final")
+AMORTISATIONS = ("declared-non-deduc-amortization", "calculated-non-deduc-amortization")
+PAYERS = {"self_insurance": ["self"], "insurer_cost": ["insurer"]}
+PENALTIES = {"fines": ["fine"], "bonus": ["bonus"], "malus": ["malus"]}
+
+
+def catalogue(rents: dict[str, list[str]], energies: dict[str, list[str]], insurances: dict[str, list[str]], others: dict[str, list[str]], claims: dict[str, list[str]], travels: list[str], distances: tuple[str, ...] = ("train", "plane"), penalties: dict[str, list[str]] = PENALTIES, taxi: str = "taxi") -> dict[str, dict]:
+    """The whole catalogue from the categories of a fleet: components, totals, taxes, ownership, mobility, CO2 and ratios.
+
+    distances: the travels whose distance is known. Names are given once, or it is an error.
+    """
+    out = Catalogue()
     for kind, prefix, categories in (("expense", "rent", rents), ("expense", "energy", energies), ("expense", "insurance", insurances), ("expense", "other", others), ("expense-claims", "claims", claims)):
-        out |= family(kind, prefix, categories)
+        out.add(family(kind, prefix, categories))
         if categories:
             every = sorted({c for values in categories.values() for c in values})
-            out |= {f"{prefix}_total_{view}": leaf(kind, every, view) for view in TAX_VIEWS}
-    for ikb in ("ikb_purchase_with_fuel", "ikb_purchase_without_fuel", "ikb_expense_with_fuel", "ikb_expense_without_fuel", "ikb_calculated_final"):
-        out |= {ikb: leaf(ikb), f"tax_{ikb}": block(constant(SOCIAL_RATE), "x", leaf(ikb))}
-    for nda in ("declared-non-deduc-amortization", "calculated-non-deduc-amortization"):
-        out |= {nda: leaf(nda), f"tax_{nda}": block(constant(CORPORATE_RATE), "x", leaf(nda))}
+            out.add({f"{prefix}_total_{view}": leaf(kind, every, view) for view in TAX_VIEWS})
+    out.add(family("insurance", "accident", PAYERS))
+    out.add({name: leaf("expense", values, "net") for name, values in penalties.items()})
+    for ikb in IKB:
+        out.add({ikb: leaf(ikb), f"tax_{ikb}": block(constant(SOCIAL_RATE), "x", leaf(ikb))})
+    for nda in AMORTISATIONS:
+        out.add({nda: leaf(nda), f"tax_{nda}": block(constant(CORPORATE_RATE), "x", leaf(nda))})
     out["participation"] = leaf("participation")
+    out.add({f"travel_distance_{t}": leaf("travel-distance", [t]) for t in travels if t in distances})
     for t in travels:
-        out |= {f"travel_distance_{t}": leaf("travel-distance", [t]), f"travel_occurrences_{t}": leaf("travel-occurrences", [t]), f"travel_expenses_{t}": leaf("travel-expenses", [t])}
-    for m in ("total-mileage", "current-mileage", "lease-mileage", "lease-months"):
-        out[m] = leaf(m)
+        out.add({f"travel_occurrences_{t}": leaf("travel-occurrences", [t]), f"travel_anticipation_{t}": leaf("travel-anticipation", [t])})
+    out.add(family("travel-expenses", "travel_expenses", {t: [t] for t in travels}))
+    out.add({m: leaf(m) for m in ("total-mileage", "current-mileage", "lease-mileage", "lease-months")})
     taxes = block(out["tax_ikb_calculated_final"], "+", out["tax_calculated-non-deduc-amortization"])
     out["taxes_total"] = taxes
     fleet = [out[f"{p}_total_net"] for p in ("rent", "energy", "insurance", "other", "claims") if f"{p}_total_net" in out]
     tco = block(block(summed(fleet), "+", taxes), "-", leaf("participation"))
-    out |= {"tco": tco, "tco_per_vehicle": block(tco, "/", leaf("total-vehicles")), "tco_per_driver": block(tco, "/", leaf("total-drivers")), "tco_per_km": block(tco, "/", leaf("total-mileage"))}
-    spend = [out[f"travel_expenses_{t}"] for t in travels]
-    tcm = summed([tco, *spend])
-    out |= {"tcm": tcm, "tcm_per_collaborator": block(tcm, "/", leaf("total-collaborators")), "tcm_per_user": block(tcm, "/", leaf("total-users"))}
-    if spend:
-        trips = leaf("travel-occurrences", list(travels))
-        out |= {"travel_total": summed(spend), "travel_per_trip": block(summed(spend), "/", trips), "travel_per_traveller": block(summed(spend), "/", leaf("total-travellers"))}
-    co2_fleet = summed([leaf("CO2-usage"), leaf("CO2-production"), leaf("CO2-recycling")])
-    rental = block(block(leaf("rental-cars-days"), "x", constant(RENTAL_KM_DAY)), "x", constant(RENTAL_CO2_KM))
-    co2_travel = summed([leaf("CO2-trains"), leaf("CO2-planes"), rental])
-    out |= {"co2_fleet": co2_fleet, "co2_travel": co2_travel, "co2_total": block(co2_fleet, "+", co2_travel), "co2_rental_cars": rental}
-    for name, per in (("vehicle", "total-vehicles"), ("driver", "total-drivers"), ("km", "total-mileage"), ("collaborator", "total-collaborators")):
-        out[f"co2_fleet_per_{name}"] = block(co2_fleet, "/", leaf(per))
-    out["co2_travel_per_traveller"] = block(co2_travel, "/", leaf("total-travellers"))
+    out.add({"tco": tco, "tco_per_vehicle": block(tco, "/", leaf("total-vehicles")), "tco_per_driver": block(tco, "/", leaf("total-drivers")), "tco_per_km": block(tco, "/", leaf("total-mileage"))})
+    tcm = summed([tco, *(out[f"travel_expenses_{t}_net"] for t in travels)])
+    out.add({"tcm": tcm, "tcm_per_collaborator": block(tcm, "/", leaf("total-collaborators")), "tcm_per_user": block(tcm, "/", leaf("total-users"))})
+    trips = leaf("travel-occurrences", list(travels))
+    for view in TAX_VIEWS if travels else ():
+        spend = summed([out[f"travel_expenses_{t}_{view}"] for t in travels])
+        out.add({f"travel_total_{view}": spend, f"travel_per_trip_{view}": block(spend, "/", trips), f"travel_per_traveller_{view}": block(spend, "/", leaf("total-travellers"))})
+    out.add(emissions(trips if travels else None, taxi))
+    return dict(out)
+
+
+def emissions(trips: dict | None, taxi: str) -> dict[str, dict]:
+    """CO2 by source, its sums, and ratios to people, vehicles, kilometres, travellers and trips."""
+    out = Catalogue()
+    fare = block(leaf("expense-claims", [taxi], "net"), "+", leaf("expense-claims", [taxi], "deduc_vat"))
+    out.add({f"co2_{x}": leaf(f"CO2-{x}") for x in ("usage", "production", "recycling", "trains", "planes")})
+    out["co2_rental_cars"] = block(leaf("rental-cars-days"), "x", constant(RENTAL_KM_DAY * RENTAL_CO2_KM))
+    out["co2_taxi"] = block(block(fare, "-", constant(TAXI_BASE)), "x", constant(TAXI_CO2_KM / TAXI_EUR_KM))
+    ways = ("trains", "planes", "taxi", "rental_cars")
+    out["co2_fleet"] = summed([out["co2_usage"], out["co2_production"], out["co2_recycling"]])
+    out["co2_travel"] = summed([out[f"co2_{w}"] for w in ways])
+    out["co2_total"] = block(out["co2_fleet"], "+", out["co2_travel"])
+    out["co2_per_collaborator"] = block(out["co2_total"], "/", leaf("total-collaborators"))
+    out["co2_per_km"] = block(out["co2_fleet"], "/", leaf("total-mileage"))
+    for part in ("fleet", "usage", "production", "recycling"):
+        out.add({f"co2_{part}_per_driver": block(out[f"co2_{part}"], "/", leaf("total-drivers")), f"co2_{part}_per_vehicle": block(out[f"co2_{part}"], "/", leaf("total-vehicles"))})
+    for part in ("travel", *ways):
+        out[f"co2_{part}_per_traveller"] = block(out[f"co2_{part}"], "/", leaf("total-travellers"))
+    for part in ("travel", "trains", "planes", "rental_cars") if trips else ():
+        out[f"co2_{part}_per_trip"] = block(out[f"co2_{part}"], "/", trips)
+    return out
+
+
+def labelled(names: list[str], labels: dict[str, str], views: dict[str, str], taxes: str = "taxes") -> dict[str, str]:
+    """Names in another language: a known name's label, or that of the name without its view or its tax mark; an unknown one is an error."""
+    out = {}
+    for name in names:
+        view = next((v for v in views if name.endswith(f"_{v}") and name.removesuffix(f"_{v}") in labels), None)
+        if name in labels:
+            out[name] = labels[name]
+        elif view:
+            out[name] = f"{labels[name.removesuffix(f'_{view}')]} {views[view]}"
+        elif name.startswith("tax_") and name.removeprefix("tax_") in labels:
+            out[name] = f"{taxes} - {labels[name.removeprefix('tax_')]}"
+        else:
+            raise LookupError(f"no label of {name}")
     return out
 
 

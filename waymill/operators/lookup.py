@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import folded_name_key, is_missing, without_accents
+from waymill.operators.common import materialised
 
 
 def folded(c: Column) -> Column:
@@ -77,15 +78,15 @@ def first_known(df: DataFrame, column: str, chain: list[tuple[DataFrame, str, st
     return df.withColumn(column, F.coalesce(column, *[f"__v{k}" for k in range(len(chain))])).drop(*[f"__v{k}" for k in range(len(chain))])
 
 
-def tree_edges(df: DataFrame, json_col: str, deepest: int = 12) -> DataFrame:
-    """id, name, parent of every node of trees {"id", "name", "children": […]}, one level a step."""
+def tree_edges(df: DataFrame, json_col: str) -> DataFrame:
+    """id, name, parent of every node of trees {"id", "name", "children": […]}, one level a step until none is left."""
     node = "struct<id:string,name:string,children:array<string>>"
-    level = df.select(F.from_json(json_col, node).alias("n"), F.lit(None).cast("string").alias("parent"))
+    level = materialised(df.select(F.from_json(json_col, node).alias("n"), F.lit(None).cast("string").alias("parent")))
     out = None
-    for _ in range(deepest):
+    while out is None or not level.isEmpty():
         here = level.select(F.col("n.id").alias("id"), F.col("n.name").alias("name"), "parent").where("id IS NOT NULL")
         out = here if out is None else out.unionByName(here)
-        level = level.select(F.explode("n.children").alias("c"), F.col("n.id").alias("parent")).select(F.from_json("c", node).alias("n"), "parent")
+        level = materialised(level.select(F.explode("n.children").alias("c"), F.col("n.id").alias("parent")).select(F.from_json("c", node).alias("n"), "parent"))
     return out
 
 

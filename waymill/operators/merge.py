@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import nearly_equal
+from waymill.operators.common import sent_whole
 
 #: How an incoming value meets a stored one.
 MODES = ("keep", "null_only", "overwrite", "inc_null")
@@ -122,4 +123,4 @@ def reconciliation(desired: DataFrame, actual: DataFrame, key: str, checks: dict
 def refreshed(rollup: DataFrame, facts: DataFrame, touched: DataFrame, month: str, build) -> DataFrame:
     """A rollup with only the touched months computed again from the facts."""
     months = touched.select(month).distinct()
-    return rollup.join(months, month, "left_anti").unionByName(build(facts.join(F.broadcast(months), month, "left_semi")))
+    return rollup.join(months, month, "left_anti").unionByName(build(facts.join(sent_whole(months), month, "left_semi")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import haversine
+from waymill.operators.common import bound
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:
@@ -70,17 +71,26 @@ def plausible_readings(df: DataFrame, key: str, at: str, reading: str, per_day:
     """
     row = F.struct(F.col(at).alias("at"), F.col(reading).cast("double").alias("km"))
     series = df.dropna(subset=[key, at, reading]).groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kind = "array<struct<at:timestamp_ntz,km:double>>"
+    one = "struct<at:timestamp_ntz,km:double>"
+    nobody, none = F.lit(None).cast(one), F.array().cast(f"array<{one}>")
 
     def fits(last: Column, r: Column) -> Column:
         days, km = F.datediff(r["at"], last["at"]), r["km"] - last["km"]
         return (km >= 0) & (km <= per_day * F.greatest(days, F.lit(1))) & (km <= per_week * (F.floor(days / 7) + 1))
 
     def step(state: Column, r: Column) -> Column:
-        ok = F.when(F.size(state) == 0, True).otherwise(fits(F.element_at(state, -1), r))
-        return F.when(ok, F.concat(state, F.array(r))).otherwise(state)
-
-    kept = series.withColumn("rows", F.col("rows").cast(kind)).withColumn("kept", F.aggregate("rows", F.array().cast(kind), step))
+        ok = state["last"].isNull() | fits(state["last"], r)
+        return F.struct(F.when(ok, r).otherwise(state["last"]).alias("last"), F.when(ok, F.concat(state["kept"], F.array(r))).otherwise(state["kept"]).alias("kept"))
+
+    # a lambda copies the array that it adds to, so the series is walked in chunks of about the root of its length
+    def chunk(state: Column, rows: Column) -> Column:
+        walked = F.aggregate(rows, F.struct(state["last"].alias("last"), none.alias("kept")), step)
+        return bound(walked, lambda w: F.struct(w["last"].alias("last"), F.concat(state["parts"], F.array(w["kept"])).alias("parts")))
+
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("rows")))).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), F.floor(F.size("rows") / width).cast("int")), lambda k: F.slice("rows", k * width + 1, width))
+    start = F.struct(nobody.alias("last"), F.array().cast(f"array<array<{one}>>").alias("parts"))
+    kept = series.withColumn("rows", F.col("rows").cast(f"array<{one}>")).withColumn("kept", F.flatten(F.aggregate(chunks, start, chunk, lambda state: state["parts"])))
     return kept.select(key, F.explode("kept").alias("r")).select(key, F.col("r.at").alias(at), F.col("r.km").alias(reading))
 
 

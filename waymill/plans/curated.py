@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from waymill.functions import standardise as st
 from waymill.operators import dedupe, expect, finance, joins, timeseries
+from waymill.operators.common import sent_whole
 from waymill.operators.merge import new_versions, replace_computed, replace_for
 
 
@@ -151,7 +152,7 @@ def documents(stored: DataFrame, files: DataFrame) -> DataFrame:
 
 def synchronisation_ids(rows: DataFrame, runs: DataFrame) -> DataFrame:
     """Adds the id of each connector's run; a connector without one fails while the job runs."""
-    met = rows.join(F.broadcast(runs.select("connector_name", "synchronisation_id", F.lit(True).alias("__run"))), "connector_name", "left")
+    met = rows.join(sent_whole(runs.select("connector_name", "synchronisation_id", F.lit(True).alias("__run"))), "connector_name", "left")
     told = F.raise_error(F.concat(F.lit("no run of "), F.coalesce("connector_name", F.lit("null")))).cast("string")
     return met.withColumn("synchronisation_id", F.when(F.col("__run"), F.col("synchronisation_id").cast("string")).otherwise(told)).drop("__run")
 

@@ -142,6 +142,20 @@ KPI_FAMILY = f"""WITH {EXPENSES}, g AS (SELECT *, round(coalesce(i, e * 1.2::DOU
  round(CAST(sum(x) FILTER (category = 'large') AS DOUBLE), 0) AS cost_energy_tax_exc, round(CAST(sum(d) FILTER (category = 'large') AS DOUBLE), 0) AS cost_energy_deduc_vat, round(CAST(sum(n) FILTER (category = 'large') AS DOUBLE), 0) AS cost_energy_net FROM n GROUP BY 1"""
 
 
+def kpi_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kilometres of a supplier's parts as odometers: spans and latest readings by vehicle, summed, and cost a kilometre."""
+    facts = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_partkey").alias("vehicle_id"), F.round("l_extendedprice", 2).alias("mileage"), F.col("l_shipdate").alias("mileage_date"), F.lit("all").alias("category"), F.col("l_quantity").alias("net_amount"))
+    km = kpi.leaf("total-mileage")
+    formulas = {"total_km": km, "current_km": kpi.leaf("current-mileage"), "cost_per_km": kpi.block(kpi.leaf("expense", ["all"], "net"), "/", km)}
+    return kpi.evaluate(facts, ["l_suppkey"], formulas).withColumns({c: F.round(c, 6 if c == "cost_per_km" else 2) for c in formulas})
+
+
+KPI_MILEAGE = """WITH v AS (SELECT l_suppkey, l_partkey, max(round(l_extendedprice, 2)) - min(round(l_extendedprice, 2)) AS km, arg_max(round(l_extendedprice, 2), (l_shipdate, round(l_extendedprice, 2))) AS now FROM lineitem GROUP BY 1, 2),
+ k AS (SELECT l_suppkey, CAST(sum(CAST(km AS DECIMAL(18,4))) AS DOUBLE) AS km, CAST(sum(CAST(now AS DECIMAL(18,4))) AS DOUBLE) AS now FROM v GROUP BY 1),
+ e AS (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS cost FROM lineitem GROUP BY 1)
+ SELECT l_suppkey, round(km, 2) AS total_km, round(now, 2) AS current_km, round(cost / nullif(km, 0), 6) AS cost_per_km FROM e JOIN k USING (l_suppkey)"""
+
+
 def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expenses with labels of all their dimensions, by region and month."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -169,5 +183,6 @@ QUERIES = {
     "q_cost_rollup": (cost_rollup, COST_ROLLUP),
     "q_kpi_tree": (kpi_tree, KPI_TREE),
     "q_kpi_family": (kpi_family, KPI_FAMILY),
+    "q_kpi_mileage": (kpi_mileage, KPI_MILEAGE),
     "q_star_report": (star_report, STAR_REPORT),
 }

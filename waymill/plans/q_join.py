@@ -146,6 +146,27 @@ FUZZY_NAMES = """WITH n AS (SELECT p_partkey AS id, list_distinct(string_split(l
  s AS (SELECT id_a, id_b, round(list_avg(list_transform(u, lambda x: list_max(list_transform(v, lambda y: 100 * (1 - levenshtein(x, y) / greatest(length(x), length(y), 1)))))), 6) AS score FROM p) SELECT * FROM s WHERE score > 95"""
 
 
+def similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of suppliers and of parts alike by the usual threshold."""
+    s, p = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")), table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
+    return joins.similar_names(s.unionByName(p).distinct().withColumn("id", F.col("name")), "id", "name", 80.0)
+
+
+#: All pairs of names, none left out beforehand.
+SIMILAR_NAMES = """WITH n AS (SELECT DISTINCT name AS id, list_distinct(string_split(lower(name), ' ')) AS t FROM (SELECT s_name AS name FROM supplier UNION SELECT p_name FROM part)),
+ p AS (SELECT a.id AS id_a, b.id AS id_b, CASE WHEN len(a.t) <= len(b.t) THEN a.t ELSE b.t END AS u, CASE WHEN len(a.t) <= len(b.t) THEN b.t ELSE a.t END AS v FROM n a JOIN n b ON a.id < b.id),
+ s AS (SELECT id_a, id_b, round(list_avg(list_transform(u, lambda x: list_max(list_transform(v, lambda y: 100 * (1 - levenshtein(x, y) / greatest(length(x), length(y), 1)))))), 6) AS score FROM p) SELECT * FROM s WHERE score > 80"""
+
+
+def multi_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their place in their clerk-facing order: priority up, price down, then key, by status."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return reshape.placed(orders, ["o_orderstatus"], [("o_orderpriority", False), ("o_totalprice", True), ("o_orderkey", False)], "place")
+
+
+MULTI_SORT = """SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS LAST) AS place FROM orders"""
+
+
 def regex_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame([("steel", "steel|ring", "metal"), ("big", "^(big|large)", "bulky"), ("red", "red", "colour")], "name string, pattern string, target string")
     items = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -202,6 +223,8 @@ QUERIES = {
     "q_hierarchy_path": (hierarchy_path, HIERARCHY_PATH),
     "q_path_ids": (hierarchy_ids, HIERARCHY_IDS),
     "q_nearest": (nearest_place, NEAREST_PLACE),
+    "q_similar_names": (similar_names, SIMILAR_NAMES),
+    "q_multi_sort": (multi_sort, MULTI_SORT),
     "q_fuzzy_names": (fuzzy_names, FUZZY_NAMES),
     "q_regex_routing": (regex_routing, REGEX_ROUTING),
     "q_melt": (melted, MELTED),

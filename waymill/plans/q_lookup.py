@@ -75,7 +75,7 @@ def tree_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The region and nation trees as JSON, taken apart again."""
     n = table(spark, sf_dir, "nation").select("n_regionkey", F.struct(F.concat(F.lit("n"), "n_nationkey").alias("id"), F.col("n_name").alias("name")).alias("node"))
     trees = table(spark, sf_dir, "region").join(n.groupBy("n_regionkey").agg(F.collect_list("node").alias("children")), F.col("r_regionkey") == F.col("n_regionkey"))
-    return lookup.tree_edges(trees.select(F.to_json(F.struct(F.concat(F.lit("r"), "r_regionkey").alias("id"), F.col("r_name").alias("name"), "children")).alias("tree")), "tree", 3)
+    return lookup.tree_edges(trees.select(F.to_json(F.struct(F.concat(F.lit("r"), "r_regionkey").alias("id"), F.col("r_name").alias("name"), "children")).alias("tree")), "tree")
 
 
 TREE_EDGES = """SELECT 'r' || r_regionkey AS id, r_name AS name, NULL AS parent FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation) UNION ALL SELECT 'n' || n_nationkey, n_name, 'r' || n_regionkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region)"""

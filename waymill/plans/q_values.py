@@ -143,6 +143,32 @@ def pseudonymise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(alias, "c_name").select("c_custkey", "alias")
 
 
+def oversample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of every customer, whoever is drawn: all orders in each draw, under new ids, and only eligible ones."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    sample = synth.sampled(c.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", 3000, seed=7)
+    rows = oversample(spark, sf_dir).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("rows"), F.count_distinct("order_id").alias("ids"))
+    draws = sample.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("draws"))
+    orders = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("orders"))
+    met = c.join(draws, "c_custkey", "left").join(rows, "c_custkey", "left").join(orders, "c_custkey", "left").fillna(0, ["draws", "rows", "ids", "orders"])
+    return met.select("c_custkey", (F.col("rows") == F.col("draws") * F.col("orders")).alias("whole"), (F.col("rows") == F.col("ids")).alias("new_ids"), ((F.col("draws") == 0) | (F.col("c_acctbal") > 0)).alias("eligible"), F.lit(sample.count()).cast("long").alias("total_draws"))
+
+
+OVERSAMPLE_WHOLE = "SELECT c_custkey, true AS whole, true AS new_ids, true AS eligible, CAST(3000 AS BIGINT) AS total_draws FROM customer"
+
+
+def pseudonym_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shape of each pseudonym, how many have it, and whether it is a real name: shapes stay, none is shared or real."""
+    out = pseudonymise(spark, sf_dir)
+    real = table(spark, sf_dir, "customer").select(F.col("c_name").alias("alias")).distinct().withColumn("is_real", F.lit(True))
+    uses = out.groupBy("alias").agg(F.count_distinct("c_custkey").alias("n"))
+    shape = F.regexp_replace(F.regexp_replace("alias", "[0-9]", "9"), "[A-Za-z]", "A")
+    return out.join(real, "alias", "left").join(uses, "alias").select("c_custkey", shape.alias("shape"), "n", F.coalesce("is_real", F.lit(False)).alias("is_real"))
+
+
+PSEUDONYM_SHAPES = """SELECT c_custkey, regexp_replace(regexp_replace(c_name, '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g') AS shape, CAST(count(*) OVER (PARTITION BY c_name) AS BIGINT) AS n, false AS is_real FROM customer"""
+
+
 QUERIES = {
     "q_std_numeric": (numbers, NUMBERS),
     "q_std_plate": (plates, PLATES),
@@ -157,4 +183,6 @@ QUERIES = {
     "q_role_category": (role_categories, ROLE_CATEGORIES),
     "q_oversample": (oversample, None),
     "q_pseudonymise": (pseudonymise, None),
+    "q_oversample_whole": (oversample_whole, OVERSAMPLE_WHOLE),
+    "q_pseudonym_shapes": (pseudonym_shapes, PSEUDONYM_SHAPES),
 }

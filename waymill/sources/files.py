@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymill.operators.expect import Expected, conform, with_provenance
+from waymill.operators.joins import routed
 
 
-def delimited(spark: SparkSession, paths: str | list[str], columns: list[str], mark: str = ";", encoding: str = "ISO-8859-1", skip_broken: bool = False) -> DataFrame:
-    """All columns as text, by position; a line that does not fit keeps its text in ``corrupt``, a broken file may be skipped."""
-    schema = ", ".join(f"`{c}` string" for c in [*columns, "corrupt"])
-    read = spark.read.schema(schema).option("sep", mark).option("encoding", encoding).option("header", True).option("enforceSchema", True)
-    return read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").option("ignoreCorruptFiles", str(skip_broken).lower()).csv(paths)
+def delimited(spark: SparkSession, paths: str | list[str], columns: list[str] | dict[str, str], mark: str = ";", encoding: str = "ISO-8859-1", skip_broken: bool = False) -> DataFrame:
+    """All columns as text under the names given: those of the header, or from the header's to others.
+
+    A file whose header has other names, or the same in another order, fails while it is read; a line that does not
+    fit keeps its text in ``corrupt``, a broken file may be skipped.
+    """
+    names = columns if isinstance(columns, dict) else {c: c for c in columns}
+    schema = ", ".join(f"`{c}` string" for c in [*names, "corrupt"])
+    read = spark.read.schema(schema).option("sep", mark).option("encoding", encoding).option("header", True).option("enforceSchema", False)
+    rows = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").option("ignoreCorruptFiles", str(skip_broken).lower()).csv(paths)
+    return rows.withColumnsRenamed({a: b for a, b in names.items() if a != b})
 
 
 def table(df: DataFrame, contract: list[Expected], connector: str, dataset: str, name: str) -> DataFrame:
@@ -31,20 +40,26 @@ def sheets(spark: SparkSession, folder: str, columns: list[str], mark: str = ";"
 
 
 def zipped(spark: SparkSession, paths: str, columns: list[str], mark: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """The first member of each zip file, line by line, its first line left out."""
+    """The first member of each zip file as text columns, quotes read as in other delimited files; another header is an error.
+
+    The mark is one character. An archive is one row while it is unpacked, so it may have 2 GB at most; its member
+    is read piece by piece.
+    """
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(z.namelist()[0]) as member:
-                    text = io.TextIOWrapper(member, encoding=encoding)
-                    next(text, None)
-                    for part in iter(lambda: text.readlines(1 << 20), []):
-                        yield pd.DataFrame({"path": path, "value": [x.rstrip("\r\n") for x in part]})
+                    lines = csv.reader(io.TextIOWrapper(member, encoding=encoding, newline=""), delimiter=mark)
+                    header = next(lines, columns)
+                    if header[: len(columns)] != columns:
+                        raise ValueError(f"{path}: header {header} is not {columns}")
+                    while part := list(islice(lines, 10_000)):
+                        cut = [[*x, *[None] * (len(columns) - len(x))][: len(columns)] for x in part if x]
+                        yield pd.DataFrame([[path, *x] for x in cut], columns=["path", *columns], dtype=object)
 
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(lines, "path string, value string")
-    parts = F.split("value", mark, -1)
-    return raw.select("path", *[F.get(parts, F.lit(k)).alias(c) for k, c in enumerate(columns)])
+    schema = ", ".join(f"`{c}` string" for c in ["path", *columns])
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(rows, schema)
 
 
 def fixed_width(lines: DataFrame, fields: dict[str, tuple[int, int]], value: str = "value") -> DataFrame:
@@ -86,7 +101,7 @@ def listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 def newest(files: DataFrame) -> DataFrame:
     """The newest file; of equal times all are returned, so that a tie can be told."""
-    return files.withColumn("latest", F.max("modified").over(Window.partitionBy())).where("modified = latest").drop("latest")
+    return files.join(F.broadcast(files.agg(F.max("modified").alias("modified"))), "modified", "left_semi").select(files.columns)
 
 
 def document_hashes(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,8 +111,8 @@ def document_hashes(spark: SparkSession, folder: str) -> DataFrame:
 
 def routed_files(files: DataFrame, routes: DataFrame) -> DataFrame:
     """Files with the routes whose pattern their path fits; n_routes tells those with none or several."""
-    met = files.join(F.broadcast(routes.select("pattern", "organisation", "connector")), F.expr("regexp_like(path, pattern)"), "left")
-    return met.withColumn("n_routes", F.count("pattern").over(Window.partitionBy("path")))
+    met = routed(files, routes.withColumn("route", F.struct("pattern", "organisation", "connector")), "pattern", "pattern", "route", "path")
+    return met.select(*[F.col(c) for c in files.columns], F.col("target.pattern").alias("pattern"), F.col("target.organisation").alias("organisation"), F.col("target.connector").alias("connector"), F.col("n_rules").alias("n_routes"))
 
 
 def widened(df: DataFrame, low: str, high: str, days: int, at: str) -> DataFrame:
