@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -30,11 +30,29 @@ from pyspark.sql import functions as F
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 #: Longest text, in characters, and longest pre-token, in bytes, that are encoded without halving.
 TEXT_BLOCK, PIECE_BLOCK = 8192, 64
-#: Pre-tokens whose encodings a worker remembers; the least recently used one goes first.
-REMEMBERED = 120_000
+#: Pre-tokens whose encodings a worker remembers at least, once it has met so many; twice as many at most.
+REMEMBERED = 180_000
 SAFE_CUT = regex.compile(r"(?<=[\p{L}\p{N}!-/:-@\[-`{-~])[ \n]")
 
 
+class Memory(dict):
+    """What ``make`` gives for a key; when so many keys are held they grow old, and old ones not asked for again go."""
+
+    def __init__(self, make: Callable[[str], tuple[int, ...]], most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ranks of one vocabulary and the tree that encodes with them."""
 
@@ -44,7 +62,7 @@ class Encoder:
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.no_rank = max(self.bytes_of, default=0) + 1
         self.split = regex.compile(pattern).findall
-        self.piece_ids = lru_cache(maxsize=REMEMBERED)(self._piece_ids)
+        self.piece_ids = Memory(self._piece_ids, REMEMBERED)
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Merges the neighbours of lowest rank, the leftmost first, until no pair is in the vocabulary."""
@@ -118,8 +136,8 @@ class Encoder:
     def block_ids(self, text: str) -> list[int]:
         pieces = self.split(text)
         if max(map(len, pieces), default=0) <= 256:
-            return list(chain.from_iterable(map(self.piece_ids, pieces)))
-        return list(chain.from_iterable(self.piece_ids(x) if len(x) <= 256 else self._piece_ids(x) for x in pieces))
+            return list(chain.from_iterable(map(self.piece_ids.__getitem__, pieces)))
+        return list(chain.from_iterable(self.piece_ids[x] if len(x) <= 256 else self._piece_ids(x) for x in pieces))
 
     def join_texts(self, a: str, ids_a: list[int], b: str, ids_b: list[int]) -> list[int]:
         """The ids of a + b from those of a and b."""
@@ -152,7 +170,7 @@ class Encoder:
     def decode(self, ids: np.ndarray) -> bytes:
         """Concatenates up the tree."""
         if len(ids) <= 4096:
-            return b"".join([self.bytes_of[i] for i in ids.tolist()])
+            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
