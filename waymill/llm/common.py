@@ -30,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def bounded_batches(spark: SparkSession, size: int = 2 << 20) -> None:
+    """Bounds the bytes of Arrow batches that carry texts to Python workers, and so what a worker holds besides the
+    longest text. A setting of the session, made by the queries; operators don't touch it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and goes on from there, whatever executor is lost later."""
     shared_dir(df.sparkSession)

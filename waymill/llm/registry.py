@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waymill.llm import byte_bpe, lm, mixing, oracles, png_media, quality, secrets, simhash, substrings, urls, word_tokens
-from waymill.llm.common import documents
+from waymill.llm.common import bounded_batches, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,18 +17,22 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return simhash.near_duplicates(documents(spark, sf_dir), distance=3)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return quality.quality_report(documents(spark, sf_dir))
 
 
 def op4_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return png_media.media_digest(documents(spark, sf_dir))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return word_tokens.token_counts(documents(spark, sf_dir), limit=2048)
 
 
@@ -49,6 +53,7 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
 
 
