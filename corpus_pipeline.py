@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymill.llm import byte_bpe, mixing, quality, secrets, shingles
-from waymill.llm.common import cut_lineage
+from waymill.llm.common import bounded_batches, cut_lineage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the distances to their language keep."""
+    bounded_batches(spark)
     return quality.filter_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group linked by a similarity of five-word shingles of 0.8 or more."""
+    bounded_batches(spark)
     return shingles.keep_first(docs)
 
 
@@ -36,6 +38,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the token ids and the decoded bytes of each row."""
+    bounded_batches(spark)
     return byte_bpe.encoding_digest(docs)
 
 
