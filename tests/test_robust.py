@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from waymill.operators import joins, kpi, lookup, timeseries
+from waymill.operators import dedupe, joins, kpi, lookup, timeseries
 from waymill.sources import files
 
 
@@ -117,3 +117,15 @@ def test_labels(spark):
     assert kpi.labelled(["rent_net", "rent_tax_exc", "tax_ikb", "ikb"], labels, views, "Taxes") == {"rent_net": "Loyer (net)", "rent_tax_exc": "Loyer (HT)", "tax_ikb": "Taxes - Avantage", "ikb": "Avantage"}
     with pytest.raises(LookupError):
         kpi.labelled(["fuel_net"], labels, views)
+
+
+def test_columns_of_internal_names_stay(spark):
+    df = spark.createDataFrame([("k", 1, "a", "b", "c"), ("k", 2, "d", "e", "f")], "k string, n int, __rank string, __row string, __new string")
+    first = dedupe.first_per_key(df, ["k"], [F.desc("n")]).first()
+    assert tuple(first) == ("k", 2, "d", "e", "f") and dedupe.keep_extreme(df, ["k"], "n").first() == first
+    day = F.lit("2024-01-01").cast("timestamp_ntz")
+    dated = df.withColumn("at", day)
+    assert timeseries.sessions(dated, ["k"], "at", "10 minutes", tie=["n"]).columns == [*dated.columns, "segment"]
+    periods = spark.createDataFrame([("k", "v")], "k string, v string").withColumns({"s": day, "e": F.lit(None).cast("timestamp_ntz")})
+    out = joins.best_interval(dated, periods, "k", "at", "s", "e", [("v", False)], ["v"])
+    assert out.columns == [*dated.columns, "v", "matched"] and rows(out.select("n", "__rank", "__row", "v")) == [(1, "a", "b", "v"), (2, "d", "e", "v")]

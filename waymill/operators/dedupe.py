@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymill.operators.common import fresh
+
 
 def agreed(c: str) -> Column:
     """The group's only distinct value that is not null; null where several disagree."""
@@ -39,12 +41,14 @@ def latest_per_column(df: DataFrame, keys: list[str], at: str, policies: dict[st
 def keep_extreme(df: DataFrame, keys: list[str], by: str, extreme: str = "max") -> DataFrame:
     """Rows that have their group's extreme value, all of equals, and rows without a value."""
     best = getattr(F, extreme)(by).over(Window.partitionBy(*keys))
-    return df.withColumn("__best", best).where(F.col(by).isNull() | (F.col(by) == F.col("__best"))).drop("__best")
+    (name,) = fresh(df, "best")
+    return df.withColumn(name, best).where(F.col(by).isNull() | (F.col(by) == F.col(name))).drop(name)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by an order that ends with a unique column."""
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__rank = 1").drop("__rank")
+    (rank,) = fresh(df, "rank")
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) == 1).drop(rank)
 
 
 def first_values(df: DataFrame, keys: list[str], order: list[str], columns: list[str], collect: dict[str, str] | None = None) -> DataFrame:

@@ -34,10 +34,11 @@ def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: s
     sort = lambda c, down: c.desc_nulls_first() if down else c.asc_nulls_last()
     bounds = [F.col(key).alias("__key"), F.col(start).alias("__start"), F.col(end).alias("__end")]
     r = right.select(*bounds, *[F.col(v) for v in values])
-    left = left.withColumn("__row", distinct_key(left))
+    row, place = fresh(left, "row", "rank")
+    left = left.withColumn(row, distinct_key(left))
     met = left.join(r, (left[key] == r["__key"]) & covers(F.col(at), F.col("__start"), F.col("__end"), closed), "left")
-    first = F.row_number().over(Window.partitionBy("__row").orderBy(*[sort(F.col(c), d) for c, d in order]))
-    out = met.withColumn("__rank", first).where("__rank = 1").withColumn("matched", F.col("__key").isNotNull()).drop("__rank", "__row", "__key", "__start", "__end")
+    first = F.row_number().over(Window.partitionBy(row).orderBy(*[sort(F.col(c), d) for c, d in order]))
+    out = met.withColumn(place, first).where(F.col(place) == 1).withColumn("matched", F.col("__key").isNotNull()).drop(place, row, "__key", "__start", "__end")
     if fallback is None or mask_fallback:
         return out
     rank = F.row_number().over(Window.partitionBy("__key").orderBy(*[sort(F.col(c), d) for c, d in fallback]))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import folded_name_key, is_missing, without_accents
-from waymill.operators.common import materialised
+from waymill.operators.common import fresh, materialised
 
 
 def folded(c: Column) -> Column:
@@ -98,4 +98,5 @@ def active_wins(active: DataFrame, archived: DataFrame, key: str) -> DataFrame:
 def ranked_oldest(df: DataFrame, keys: list[str], order: str, tie: str) -> DataFrame:
     """The row of each key's highest rank, that is its oldest version."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last(), tie))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    (name,) = fresh(df, "rank")
+    return df.withColumn(name, rank).where(F.col(name) == 1).drop(name)

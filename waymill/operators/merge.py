@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import nearly_equal
-from waymill.operators.common import sent_whole
+from waymill.operators.common import fresh, sent_whole
 
 #: How an incoming value meets a stored one.
 MODES = ("keep", "null_only", "overwrite", "inc_null")
@@ -62,8 +62,9 @@ def new_versions(target: DataFrame, incoming: DataFrame, keys: list[str], start:
     """
     cols = target.columns
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(start).desc_nulls_last(), F.col(end).desc_nulls_first()))
-    ranked = target.withColumn("__rank", rank)
-    current, past = ranked.where("__rank = 1").drop("__rank"), ranked.where("__rank > 1").drop("__rank")
+    (place,) = fresh(target, "rank")
+    ranked = target.withColumn(place, rank)
+    current, past = ranked.where(F.col(place) == 1).drop(place), ranked.where(F.col(place) > 1).drop(place)
     t = current.select(*keys, F.lit(True).alias("__stored"), *[F.col(c).alias(f"__t_{c}") for c in cols if c not in keys])
     i = incoming.dropna(subset=keys).select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__i_{c}") for c in cols if c not in keys])
     changed = F.lit(False)

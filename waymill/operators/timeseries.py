@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import haversine
-from waymill.operators.common import bound
+from waymill.operators.common import bound, fresh
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:
@@ -19,14 +19,16 @@ def sessions(df: DataFrame, keys: list[str], at: str, gap: str, name: str = "seg
     w = Window.partitionBy(*keys).orderBy(at, *tie)
     new = F.coalesce((F.col(at) > F.lag(at).over(w) + F.expr(f"INTERVAL {gap}")).cast("int"), F.lit(0))
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("__new", new).withColumn(name, F.sum("__new").over(running)).drop("__new")
+    (start,) = fresh(df, "new")
+    return df.withColumn(start, new).withColumn(name, F.sum(start).over(running)).drop(start)
 
 
 def moved(df: DataFrame, keys: list[str], order: list[str], lon: str, lat: str, least: float) -> DataFrame:
     """Rows further than ``least`` metres from the row just before, kept or not; a key's first row stays."""
     w = Window.partitionBy(*keys).orderBy(*order)
     gap = haversine(F.lag(lon).over(w), F.lag(lat).over(w), F.col(lon), F.col(lat))
-    return df.withColumn("__gap", gap).where("__gap IS NULL OR __gap > " + repr(float(least))).drop("__gap")
+    (way,) = fresh(df, "gap")
+    return df.withColumn(way, gap).where(F.col(way).isNull() | (F.col(way) > float(least))).drop(way)
 
 
 def merged_intervals(df: DataFrame, keys: list[str], start: str, end: str, keep: list[str] = ()) -> DataFrame:
