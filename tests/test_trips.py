@@ -109,6 +109,21 @@ def test_stream_equals_batch_after_each_file(spark, world, tmp_path):
         assert seen(spark.read.parquet(latest_version(spark, table))) == seen(batch)
 
 
+def test_all_cases_in_a_row_rewrite_only_touched_parts(spark, world, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "trips")
+    folder.mkdir()
+    start = spark.createDataFrame([trip("v1", L01, "10:00", "10:01"), trip("v9", L01, "10:00", "10:01")], TRIP_SCHEMA)
+    batch, (untouched,) = start, {r.part for r in start.where("vehicle_id = 'v9'").select(stream.part_of().alias("part")).collect()}
+    for k, case in enumerate(sorted(CASES)):
+        events = CASES[case][1]
+        (folder / f"{k}.json").write_text(json.dumps(events))
+        stream.run_trips(spark, str(folder), table, str(tmp_path / "checkpoint"), *world, start).awaitTermination()
+        batch = spark.createDataFrame(next_trips(spark.createDataFrame(events, EVENT_SCHEMA), world[0], batch, world[1]).collect(), TRIP_SCHEMA)
+        assert seen(stream.trip_table(spark, table)) == seen(batch), case
+    versions = stream._versions(spark, table)
+    assert versions[untouched] == 0 and max(versions.values()) == len(CASES)
+
+
 def test_empty_batch(spark, world):
     none = spark.createDataFrame([], TRIP_SCHEMA)
     assert next_trips(spark.createDataFrame([], EVENT_SCHEMA), world[0], none, world[1]).count() == 0

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from waymill.operators.common import materialised
 from waymill.sources.sinks import latest_version, replace
-from waymill.streaming.trips import EVENT_SCHEMA, next_trips
+from waymill.streaming.trips import EVENT_SCHEMA, TRIP_SCHEMA, next_trips
 
 
 def event_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,14 +16,55 @@ def event_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).option("multiLine", True).json(folder)
 
 
+#: Parts of the trip table, by the hash of the vehicle.
+PARTS = 64
+
+
+def part_of(vehicle: str = "vehicle_id") -> Column:
+    return F.pmod(F.xxhash64(F.col(vehicle).cast("string")), F.lit(PARTS)).cast("int")
+
+
+def _versions(spark: SparkSession, table: str, below: int | None = None) -> dict[int, int]:
+    """The version that holds each part of a table; as many entries as parts at most."""
+    found = latest_version(spark, f"{table}/parts", below)
+    return {r.part: r.version for r in spark.read.parquet(found).collect()} if found else {}
+
+
+def _read(spark: SparkSession, table: str, versions: dict[int, int]) -> DataFrame | None:
+    paths = [f"{table}/v={version:010d}/part={part}" for part, version in sorted(versions.items())]
+    return spark.read.schema(TRIP_SCHEMA).parquet(*paths) if paths else None
+
+
+def trip_table(spark: SparkSession, table: str) -> DataFrame:
+    """All trips as of the last whole micro-batch."""
+    found = _read(spark, table, _versions(spark, table))
+    return spark.createDataFrame([], TRIP_SCHEMA) if found is None else found
+
+
+def _put(spark: SparkSession, trips: DataFrame, table: str, number: int, before: dict[int, int]) -> None:
+    """Writes the parts that the trips have as a version, then which version holds each part; only the last makes them count."""
+    path = f"{table}/v={number:010d}"
+    trips.withColumn("part", part_of()).repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)
+    written = {r.part: number for r in trips.select(part_of().alias("part")).distinct().collect()}
+    replace(spark.createDataFrame(sorted((before | written).items()), "part int, version long").coalesce(1), f"{table}/parts", number)
+
+
 def run_trips(spark: SparkSession, folder: str, table: str, checkpoint: str, vehicles: DataFrame, addresses: DataFrame, start: DataFrame) -> StreamingQuery:
-    """Processes all files there are. Each micro-batch writes the table's version of its number, so a batch
-    that runs again after a failure starts from the version before it and writes the same."""
+    """Processes all files there are; ``trip_table`` reads the result, which begins with the trips of ``start``.
+
+    A micro-batch reads and writes only the parts of the vehicles that it has events of, as a version of its number,
+    so a batch that runs again after a failure starts from the versions before it and writes the same.
+    """
+    if latest_version(spark, f"{table}/parts") is None:
+        _put(spark, start, table, 0, {})
 
     def step(batch: DataFrame, number: int) -> None:
-        before = latest_version(spark, table, below=number + 1)
-        stored = start if before is None else spark.read.parquet(before)
-        replace(next_trips(batch, vehicles, stored, addresses), table, number + 1)
+        batch = materialised(batch)
+        before = _versions(spark, table, below=number + 1)
+        touched = {r.part for r in batch.select("vin").join(vehicles.select("vin", F.col("id").alias("vehicle_id")), "vin").select(part_of().alias("part")).distinct().collect()}
+        own = _read(spark, table, {p: v for p, v in before.items() if p in touched})
+        stored = spark.createDataFrame([], TRIP_SCHEMA) if own is None else own
+        _put(spark, materialised(next_trips(batch, vehicles, stored, addresses)), table, number + 1, before)
 
     return event_files(spark, folder).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
