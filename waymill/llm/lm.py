@@ -36,7 +36,7 @@ from waymill.llm.wordhash import mixed, words_of
 
 FOLDS, HELD_OUT = 5, 1
 #: Masses M2, M3 of the lower order in the states of one word and of two.
-MASS, PAIR_MASS = 30.0, 10.0
+MASS, PAIR_MASS = 300.0, 10.0
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
