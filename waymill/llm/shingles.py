@@ -134,18 +134,22 @@ def shared_sets(df: DataFrame, text_col: str, alike: tuple[int, int] = ALIKE, sh
     return answered.groupBy("piece").applyInPandas(gathered, "fp long, n long, keys binary").dropDuplicates(["fp"])
 
 
-def postings(sets: DataFrame, alike: tuple[int, int] = ALIKE) -> DataFrame:
-    """key, fp, n, at: the hashes of each set of which one must be shared, with their place in the set's order."""
+def prefixes(sets: DataFrame, alike: tuple[int, int] = ALIKE) -> DataFrame:
+    """fp, n, at, first: the hashes of each set of which one must be shared, and the place of the first in the set's order."""
     part, whole = alike
 
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for fp, n, packed in zip(batch["fp"], batch["n"], batch["keys"]):
-                keys = np.frombuffer(packed, dtype="<i8")
-                first = keys[: len(keys) - -(-part * n // whole) + 1]
-                yield pd.DataFrame({"key": first, "fp": fp, "n": n, "at": n - len(keys) + np.arange(len(first))})
+            keys = [np.frombuffer(x, dtype="<i8") for x in batch["keys"]]
+            first = [k[: len(k) - -(-part * n // whole) + 1] for k, n in zip(keys, batch["n"])]
+            yield pd.DataFrame({"fp": batch["fp"], "n": batch["n"], "at": batch["n"] - [len(k) for k in keys], "first": first})
 
-    return sets.mapInPandas(post, "key long, fp long, n long, at long")
+    return sets.mapInPandas(cut, "fp long, n long, at long, first array<long>")
+
+
+def lists_of(heads: DataFrame, *columns: str) -> DataFrame:
+    """A row for each hash of the prefixes: key, its place, and the named columns."""
+    return heads.select(*columns, "at", F.posexplode("first").alias("pos", "key")).withColumn("at", F.col("at") + F.col("pos")).drop("pos")
 
 
 def checked(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int] = ALIKE) -> DataFrame:
@@ -174,21 +178,35 @@ def links(df: DataFrame, text_col: str, marks: DataFrame, alike: tuple[int, int]
     """Edges (a, b) that connect exactly the signatures of sets alike by at least the fraction. marks: fp, mark of each set."""
     part, whole = alike
     sets = cut_lineage(shared_sets(df, text_col, alike, share))
-    lists = cut_lineage(postings(sets, alike))
+    heads = cut_lineage(prefixes(sets, alike))
     before = Window.partitionBy("key").orderBy("n", "fp")
-    follow = lists.select("fp", "n", F.lag("fp").over(before).alias("a"), F.lag("n").over(before).alias("n_a")).where(whole * F.col("n_a") >= part * F.col("n"))
+    follow = lists_of(heads, "fp", "n").select("fp", "n", F.lag("fp").over(before).alias("a"), F.lag("n").over(before).alias("n_a")).where(whole * F.col("n_a") >= part * F.col("n"))
     pairs = proposed(marks, distance).unionByName(follow.select("a", F.col("fp").alias("b")))
     near = cut_lineage(checked(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, alike))
     roots = stars(near).withColumnsRenamed({"a": "fp", "b": "root"})
-    named = cut_lineage(lists.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    apart = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_lists = named.join(apart, "key", "left_semi")
-    a, b = (open_lists.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("fp", "n", "at", "root")]) for s in "ab")
+    named = cut_lineage(heads.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    return near.unionByName(checked(apart(named, alike), sets, alike))
+
+
+def apart(named: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of sets of different roots that may be alike: each once, in the list of the first hash that both prefixes have.
+
+    Of two prefixes one ends first in the order of hashes; up to there all common hashes are in both, after it
+    come at most the rest of its own set. So hashes common to the prefixes and the larger rest bound the similarity.
+    """
+    part, whole = alike
+    rows = lists_of(named, "fp", "n", "root", "first")
+    open_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    open_rows = rows.join(open_keys, "key", "left_semi")
+    a, b = (open_rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("fp", "n", "at", "root", "first")]) for s in "ab")
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    size = F.col("n_a") + F.col("n_b")
-    alike_still = (F.col("root_a") != F.col("root_b")) & (F.col("fp_a") < F.col("fp_b")) & (left * (part + whole) >= part * size)
-    pairs = a.join(b, "key").where(alike_still).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct()
-    return near.unionByName(checked(pairs, sets, alike))
+    enough = lambda most: most * (part + whole) >= part * (F.col("n_a") + F.col("n_b"))
+    both = F.array_intersect("first_a", "first_b")
+    rest = lambda n: F.ceil(n * part / whole) - 1
+    most = F.size(both) + F.greatest(rest(F.col("n_a")), rest(F.col("n_b")))
+    cheap = (F.col("root_a") != F.col("root_b")) & (F.col("fp_a") < F.col("fp_b")) & enough(left)
+    met = a.join(b, "key").where(F.when(cheap, (F.element_at(both, 1) == F.col("key")) & enough(most)).otherwise(False))
+    return met.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
 
 
 def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: tuple[int, int] = ALIKE, share: int = SHARE, distance: int = NEAR) -> DataFrame:
