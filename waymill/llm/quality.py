@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.llm.common import cut_lineage, fresh
+from waymill.llm.wordhash import runs, words_of
 
 #: Words that a text needs; share of repeated words, in percent, that it may have.
 MIN_WORDS, MAX_REPEATED = 20, 30
@@ -72,7 +73,7 @@ def class_counts(text: str) -> np.ndarray:
 
 
 def lowered(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8").split()
+    return text.lower().encode("utf-8").split() if not text.isascii() else text.encode("ascii").lower().split()
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -98,14 +99,19 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def distance(p: np.ndarray, q: np.ndarray) -> float:
-    """Jensen-Shannon distance of two histograms; an empty one lies at 0."""
-    if not p.sum() or not q.sum():
-        return 0.0
-    p, q = p / p.sum(), q / q.sum()
-    middle = (p + q) / 2
-    gain = [np.sum(x[x > 0] * np.log2(x[x > 0] / middle[x > 0])) for x in (p, q)]
-    return float(np.sqrt(max(0.0, sum(gain) / 2)))
+def distances(p: list[np.ndarray], q: list[np.ndarray]) -> np.ndarray:
+    """Jensen-Shannon distance of histograms, row by row; one of an empty histogram is 0. Shorter rows end in zeros."""
+    width = max(map(len, [*p, *q]), default=0)
+    rows = [np.zeros((len(x), width)) for x in (p, q)]
+    for table, given in zip(rows, (p, q)):
+        for k, own in enumerate(given):
+            table[k, : len(own)] = own
+    sums = [x.sum(axis=1, keepdims=True) for x in rows]
+    shares = [x / np.maximum(n, 1) for x, n in zip(rows, sums)]
+    middle = (shares[0] + shares[1]) / 2
+    gain = [(x * np.log2(np.divide(x, middle, out=np.ones_like(x), where=x > 0))).sum(axis=1) for x in shares]
+    known = ((sums[0] > 0) & (sums[1] > 0)).ravel()
+    return np.where(known, np.sqrt(np.maximum(0.0, (gain[0] + gain[1]) / 2)), 0.0)
 
 
 def tallies(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -173,20 +179,29 @@ def features(text: Column, common_words: Column, word_counts: Column, class_coun
 
     @F.pandas_udf(FEATURES)
     def measure(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text, common, word_ref, class_ref in zip(*batch):
-                text = text or ""
-                raw = text.encode("utf-8")
-                words, chars = raw.split(), class_counts(text)
-                far = word_far = None
-                if class_ref is not None:
-                    far = distance(chars, np.asarray(class_ref))
+        for texts, commons, word_refs, class_refs in batches:
+            given = [t or "" for t in texts]
+            words, counts = words_of(given)
+            windows, at = runs(words, WINDOW), 0
+            out, held, mine, chars_of, refs = [], [], [], [], []
+            for k, (text, common, n) in enumerate(zip(given, commons, counts.tolist())):
+                raw, chars = text.encode("utf-8"), class_counts(text)
+                own = windows[at : at + n - WINDOW + 1] if n > WINDOW else windows[:0]
+                at += n
+                # equal windows have equal hashes: only where some agree can words be repeated
+                again = repeated_words(raw.split()) if len(np.unique(own)) < len(own) else 0
+                out.append((n, int(chars.sum() - chars[BREAK]), sum(map(raw.count, SYMBOLS)), repeated_lines(raw), again))
+                if class_refs[k] is not None:
                     seen = Counter(lowered(text))
-                    mine = np.array([seen[w.encode("utf-8")] for w in common])
-                    word_far = distance(np.append(mine, len(words) - mine.sum()), np.asarray(word_ref))
-                out.append((len(words), int(chars.sum() - chars[BREAK]), sum(map(raw.count, SYMBOLS)), repeated_lines(raw), repeated_words(words), far, word_far))
-            yield pd.DataFrame(out, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance"])
+                    found = [seen[w.encode("utf-8")] for w in common]
+                    held.append(k)
+                    mine.append(np.array([*found, n - sum(found)]))
+                    chars_of.append(chars)
+                    refs.append((np.asarray(class_refs[k]), np.asarray(word_refs[k])))
+            frame = pd.DataFrame(out, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+            far, word_far = np.full(len(given), np.nan), np.full(len(given), np.nan)
+            far[held], word_far[held] = distances(chars_of, [r[0] for r in refs]), distances(mine, [r[1] for r in refs])
+            yield frame.assign(class_distance=pd.Series(far).astype("Float64"), word_distance=pd.Series(word_far).astype("Float64"))
 
     return measure(text, common_words, word_counts, class_counts_)
 
