@@ -195,9 +195,10 @@ def apart(named: DataFrame, alike: tuple[int, int]) -> DataFrame:
     come at most the rest of its own set. So hashes common to the prefixes and the larger rest bound the similarity.
     """
     part, whole = alike
-    rows = lists_of(named, "fp", "n", "root", "first")
+    rows = lists_of(named, "fp", "n", "root")
     open_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_rows = rows.join(open_keys, "key", "left_semi")
+    # whole prefixes go only to the rows of open lists
+    open_rows = cut_lineage(rows.join(open_keys, "key", "left_semi")).join(named.select("fp", "first"), "fp")
     a, b = (open_rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("fp", "n", "at", "root", "first")]) for s in "ab")
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     enough = lambda most: most * (part + whole) >= part * (F.col("n_a") + F.col("n_b"))
