@@ -14,7 +14,7 @@ words go to the smaller word. Extra columns stay with ``filter_documents``.
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -118,30 +118,24 @@ def tallies(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
     """lang, key, n: words (key "n"), characters of each class ("c0" on) and each word ("w" and the word)."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter[tuple[str, str]] = Counter()
+        words: dict[str, Counter[bytes]] = defaultdict(Counter)
+        chars: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(CLASSES, dtype=np.int64))
 
         def passed() -> pd.DataFrame:
-            out = pd.DataFrame({"lang": [k[0] for k in counts], "key": [k[1] for k in counts], "n": list(counts.values())})
-            counts.clear()
-            return out
+            rows = [(lang, "n", sum(own.values())) for lang, own in words.items()]
+            rows += [(lang, f"c{k}", v) for lang, own in chars.items() for k, v in enumerate(own.tolist())]
+            rows += [(lang, "w" + w.decode("utf-8"), v) for lang, own in words.items() for w, v in own.items()]
+            words.clear()
+            chars.clear()
+            return pd.DataFrame(rows, columns=["lang", "key", "n"])
 
         for batch in batches:
-            for lang, texts in batch.groupby("lang"):
-                words: Counter[bytes] = Counter()
-                chars, n = np.zeros(CLASSES, dtype=np.int64), 0
-                for text in texts["text"]:
-                    found = lowered(text)
-                    chars += class_counts(text)
-                    words.update(found)
-                    n += len(found)
-                counts[lang, "n"] += n
-                for k, v in enumerate(chars.tolist()):
-                    counts[lang, f"c{k}"] += v
-                for w, v in words.items():
-                    counts[lang, "w" + w.decode("utf-8")] += v
-            if len(counts) > HELD:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                words[lang].update(lowered(text))
+                chars[lang] += class_counts(text)
+            if sum(map(len, words.values())) > HELD:
                 yield passed()
-        if counts:
+        if words:
             yield passed()
 
     known = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
