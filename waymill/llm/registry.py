@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.llm import byte_bpe, lm, mixing, oracles, png_media, quality, secrets, simhash, substrings, urls, word_tokens
+from waymill.llm import byte_bpe, centroids, codes, lines, lm, mixing, oracles, png_media, quality, secrets, simhash, substrings, urls, word_tokens
 from waymill.llm.common import bounded_batches, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,25 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_digest(documents(spark, sf_dir))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return centroids.cluster_report(embeddings(spark, sf_dir))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return lines.line_report(documents(spark, sf_dir), least=20, enough=3)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return codes.code_report(embeddings(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_entropy_mix": op1_entropy_mix,
@@ -69,8 +88,16 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_lm_score": op9_lm_score,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": oracles.SUBSTRING_DEDUP}
+    return {
+        "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op11_centroid_clusters": oracles.centroid_clusters(),
+        "op12_line_dedup": oracles.LINE_DEDUP,
+        "op13_vector_codes": oracles.vector_codes(),
+    }
