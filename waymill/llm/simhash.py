@@ -247,18 +247,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3) -> DataFrame:
-    """One row of each component: that of the least id. Of rows with one id, one stays, and where no row of
-    a component has an id, one of them."""
+    """One row of each component: that of the least id, null ids after all others, ties by fingerprint and then by a hash
+    of the whole row, so that the order of rows doesn't matter. Rows of one id are judged each by its own text."""
     return first_rows(df, marked(df, id_col, text_col, distance), fingerprint, id_col, text_col)
 
 
 def first_rows(df: DataFrame, marks: DataFrame, mark: Callable[[Column], Column], id_col: str, text_col: str) -> DataFrame:
-    """What ``keep_first`` keeps, by the marked rows; ``mark`` gives a text's fp."""
+    """What ``keep_first`` keeps, by the marked rows; ``mark`` gives a text's fp. Texts of ids that one row has travel nowhere."""
     found = cut_lineage(marks)
-    key = fresh("kept")
-    least = found.where("component_id IS NOT NULL").select(F.col("component_id").alias(key)).distinct()
-    with_id = df.join(least, df[id_col] == F.col(key), "left_semi").dropDuplicates([id_col])
-    bare, root = found.where("component_id IS NULL").groupBy("fp").agg(F.min("root").alias("root")), fresh("root")
-    without = df.where(F.col(id_col).isNull()).withColumn(key, mark(F.col(text_col)))
-    one = without.join(bare.select(F.col("fp").alias(key), F.col("root").alias(root)), key).dropDuplicates([root])
-    return with_id.unionByName(one.select(*df.columns))
+    key, own, row = fresh("id"), fresh("fp"), fresh("row")
+    rows_of = found.groupBy(F.col("id").alias(key)).agg(F.count("*").alias("n"))
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("c")).select("c.id", "c.fp")
+    chosen = cut_lineage(least.join(rows_of, F.col("id").eqNullSafe(F.col(key))).select(key, F.col("fp").alias(own), (F.col(key).isNotNull() & (F.col("n") == 1)).alias("alone")))
+    alone = df.join(chosen.where("alone").select(key), df[id_col] == F.col(key), "left_semi")
+    several = chosen.where("NOT alone").select(key, F.col(own).alias(own + "_"))
+    unsure = df.join(several.select(key).distinct(), df[id_col].eqNullSafe(F.col(key)), "left_semi").withColumn(own, mark(F.col(text_col)))
+    met = unsure.join(several, unsure[id_col].eqNullSafe(F.col(key)) & (F.col(own) == F.col(own + "_")), "left_semi")
+    told = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
+    one = met.groupBy(id_col, own).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.xxhash64(*told)).alias(row))
+    return alone.unionByName(one.select(*[F.col(f"{row}.{c}").alias(c) for c in df.columns]))

@@ -1,18 +1,20 @@
 """64-bit hashes of words and of runs of words, for many texts at once.
 
-A byte's hash is a fixed random number times a power for its place; running sums give any word's sum, and
-dividing by the power of its start makes equal words equal wherever they stand.
+A word is read in parts of eight bytes; each part is mixed into the hash of the parts before it, which is not linear in
+its bytes: no pair of unlike words has equal hashes by construction, whatever their length. All words of a step go
+through the same parts together; the few words of over ``LONG`` bytes are hashed one by one by XXH64.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
+import xxhash
 
 #: Bytes that are hashed in one step, so that memory doesn't grow with a text.
 STEP = 1 << 20
-ODD = np.uint64(0x9E3779B97F4A7C15)
+ODD, _FULL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bytes of a word up to which it is hashed with all others.
+LONG = 256
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -26,25 +28,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * ODD)
-
-
-@lru_cache(maxsize=4)
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(int(ODD), -1, 1 << 64)
-    up, down = np.full(count, ODD), np.full(count, inverse, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
 def _hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the words of some bytes, and their hashes."""
     edges = np.diff(np.concatenate([[True], _SPACE[raw], [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    up, down = _powers(STEP if len(raw) <= STEP else 1 << (len(raw) - 1).bit_length())
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)])
-    own = (sums[ends] - sums[starts]) * down[starts]
-    return starts, mixed(own ^ ((ends - starts).astype(np.uint64) * ODD))
+    size = ends - starts
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    parts = np.ndarray(len(raw) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    out = mixed(size.astype(np.uint64) * ODD)
+    who, at = np.flatnonzero(size <= LONG), 0
+    while len(who):
+        left = np.minimum(size[who] - at, 8).astype(np.uint64)
+        part = parts[starts[who] + at] & _FULL >> (np.uint64(64) - left * np.uint64(8))
+        out[who] = mixed((out[who] ^ part) * ODD + np.uint64(1))
+        at += 8
+        who = who[size[who] > at]
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = xxhash.xxh64_intdigest(raw[starts[k] : ends[k]].tobytes(), seed=42)
+    return starts, mixed(out)
 
 
 def words_of(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
