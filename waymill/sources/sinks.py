@@ -11,18 +11,22 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where, jvm
 
 
-def latest_version(spark: SparkSession, table: str, below: int | None = None) -> str | None:
-    """The folder of a table's highest whole version, below a number if given; None if there is none."""
+def versions(spark: SparkSession, table: str) -> list[tuple[int, str]]:
+    """Number and folder of a table's whole versions."""
     fs, root, jvm = _files(spark, table)
     if not fs.exists(root):
-        return None
+        return []
     found = []
     for entry in fs.listStatus(root):
         name = entry.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
-            number = int(name[2:])
-            if below is None or number < below:
-                found.append((number, f"{table}/{name}"))
+            found.append((int(name[2:]), f"{table}/{name}"))
+    return found
+
+
+def latest_version(spark: SparkSession, table: str, below: int | None = None) -> str | None:
+    """The folder of a table's highest whole version, below a number if given; None if there is none."""
+    found = [(n, p) for n, p in versions(spark, table) if below is None or n < below]
     return max(found)[1] if found else None
 
 

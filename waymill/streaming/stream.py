@@ -11,9 +11,10 @@ from waymill.sources.sinks import latest_version, replace
 from waymill.streaming.trips import EVENT_SCHEMA, TRIP_SCHEMA, next_trips
 
 
-def event_files(spark: SparkSession, folder: str) -> DataFrame:
+def event_files(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """A stream of JSON array files as they arrive; ``data`` may be an object or a text."""
-    return spark.readStream.schema(EVENT_SCHEMA).option("multiLine", True).json(folder)
+    read = spark.readStream.schema(EVENT_SCHEMA).option("multiLine", True)
+    return (read.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else read).json(folder)
 
 
 #: Parts of the trip table, by the hash of the vehicle.
