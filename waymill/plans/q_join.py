@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.operators import joins, reshape
+from waymill.operators import joins, names, reshape
 from waymill.operators.merge import path_ids
 from waymill.plans.tables import ORDER_INTERVALS, SHIPMENTS, order_intervals, shipments, table
 
@@ -158,6 +158,26 @@ SIMILAR_NAMES = """WITH n AS (SELECT DISTINCT name AS id, list_distinct(string_s
  s AS (SELECT id_a, id_b, round(list_avg(list_transform(u, lambda x: list_max(list_transform(v, lambda y: 100 * (1 - levenshtein(x, y) / greatest(length(x), length(y), 1)))))), 6) AS score FROM p) SELECT * FROM s WHERE score > 80"""
 
 
+def duplicate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose name and brand, token by token, are found in another one's brand and name."""
+    part = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.concat_ws(", ", F.lower("p_brand"), "p_name").alias("alternative"))
+    return names.duplicate_names(part, "name", "alternative", 80.0).select("name", "other", F.round("score", 6).alias("score"))
+
+
+#: All pairs of a token and a name, all windows of each; a common subsequence by bits, as many as the shorter text has letters.
+DUPLICATE_NAMES = r"""WITH x AS (SELECT DISTINCT p_name || ' ' || p_brand AS name, lower(p_brand) || ', ' || p_name AS alt FROM part),
+ n AS (SELECT name, list_filter(list_transform(string_split(name, ' '), lambda t: array_to_string(list_sort(string_split_regex(trim(regexp_replace(lower(t), '\W', ' ', 'g')), '\s+')), ' ')), lambda t: t <> '') AS ts,
+   array_to_string(list_sort(string_split_regex(trim(regexp_replace(alt, '\W', ' ', 'g')), '\s+')), ' ') AS a FROM x),
+ p AS (SELECT t, a FROM (SELECT DISTINCT unnest(ts) AS t FROM n), (SELECT DISTINCT a FROM n)),
+ d AS (SELECT t, a, CASE WHEN length(t) <= length(a) THEN t ELSE a END AS s, CASE WHEN length(t) <= length(a) THEN a ELSE t END AS l FROM p
+  UNION ALL SELECT t, a, a, t FROM p WHERE length(t) = length(a)),
+ m AS (SELECT t, a, length(s) AS k, length(l) AS n, list_transform(range(1, length(l) + 1), lambda j: list_sum(list_transform(range(length(s)), lambda i: CASE WHEN s[i + 1] = l[j] THEN CAST(1 AS BIGINT) << i ELSE 0 END))::BIGINT) AS masks FROM d),
+ w AS (SELECT t, a, k, masks[greatest(i, 0) + 1 : least(n, i + k)] AS own FROM (SELECT *, unnest(range(1 - k, n)) AS i FROM m)),
+ r AS (SELECT t, a, max(200.0 * (k - bit_count(list_reduce(list_prepend((CAST(1 AS BIGINT) << k) - 1, own), lambda v, b: ((v + (v & b)) | (v - (v & b))) & ((CAST(1 AS BIGINT) << k) - 1)))) / (k + len(own))) AS ratio FROM w GROUP BY t, a),
+ e AS (SELECT name, a, avg(ratio) AS score FROM (SELECT name, unnest(ts) AS t FROM n) JOIN r USING (t) WHERE ratio > 0 GROUP BY name, a HAVING avg(ratio) > 80)
+ SELECT e.name, n.name AS other, round(max(score), 6) AS score FROM e JOIN n ON e.a = n.a AND e.name <> n.name GROUP BY ALL"""
+
+
 def multi_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their place in their clerk-facing order: priority up, price down, then key, by status."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
@@ -224,6 +244,7 @@ QUERIES = {
     "q_path_ids": (hierarchy_ids, HIERARCHY_IDS),
     "q_nearest": (nearest_place, NEAREST_PLACE),
     "q_similar_names": (similar_names, SIMILAR_NAMES),
+    "q_duplicate_names": (duplicate_names, DUPLICATE_NAMES),
     "q_multi_sort": (multi_sort, MULTI_SORT),
     "q_fuzzy_names": (fuzzy_names, FUZZY_NAMES),
     "q_regex_routing": (regex_routing, REGEX_ROUTING),
