@@ -19,9 +19,9 @@ def ordered_by(columns: list[str], descending: bool = False) -> list[Column]:
     return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in columns]
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Names like these that no column of the rows has."""
-    taken = {c.lower() for c in df.columns}
+def fresh(df: DataFrame | list[str], *names: str) -> list[str]:
+    """Names like these that no column of the rows, or none of these names, has."""
+    taken = {c.lower() for c in (df if isinstance(df, list) else df.columns)}
     return [next(x for k in range(len(taken) + 1) if (x := f"__{n}{k or ''}").lower() not in taken) for n in names]
 
 

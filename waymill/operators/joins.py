@@ -1,8 +1,8 @@
 """Time-aware joins, checked lookups, hierarchies and nearest neighbours.
 
-Interval joins bring an equality on the key and bucket nothing: Spark joins by key and the range condition
-rides along. Each keeps every left row exactly once, by a row number made of all its columns only where the
-left side may match several intervals. Ties always end with every interval column, so results are stable.
+Interval joins bring an equality on the key; where a key has few versions the range condition rides along, where it has
+many ``intervals`` has an index. Each keeps every left row exactly once. Ties always end with every interval column, so
+results are stable.
 """
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymill.operators import intervals
 from waymill.operators.common import distinct_key, fresh, materialised
 
+#: Versions of a key up to which its rows meet all of them.
+MOST_VERSIONS = 64
+
 
 def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Column:
     """Whether a time lies in an interval; a null end is open."""
@@ -22,29 +26,45 @@ def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Colum
     return (at >= start) & (end.isNull() | before_end)
 
 
-def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: str, end: str, order: list[tuple[str, bool]], values: list[str], closed: bool = True, fallback: list[tuple[str, bool]] | None = None, mask_fallback: bool = False) -> DataFrame:
+def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: str, end: str, order: list[tuple[str, bool]], values: list[str], closed: bool = True, fallback: list[tuple[str, bool]] | None = None, mask_fallback: bool = False, most: int = MOST_VERSIONS) -> DataFrame:
     """Left rows with ``values`` of the best interval of their key.
 
     Of the intervals that cover ``at``, the first by ``order`` counts: pairs of a column (``__start`` and
     ``__end`` for the bounds, or a value) and whether it descends, in which case an open (null) one counts as
-    last in time. With a ``fallback`` order, rows without one take their key's first interval by that order,
-    its values kept or, with ``mask_fallback``, set to null. A matched column says which it was. Rows whose
-    key has no interval keep nulls. Only covering intervals meet a row, so versions do not multiply rows.
+    last in time; equal ones are told apart by their bounds and values. With a ``fallback`` order, rows without one take
+    their key's first interval by that order, its values kept or, with ``mask_fallback``, set to null. A matched column
+    says which it was. Rows whose key has no interval keep nulls.
+
+    Rows meet the intervals of their key directly while these are ``most`` or fewer. Keys with more have an index
+    (``intervals``), so a row meets some twenty nodes of it however many versions there are.
     """
+    k, s, e, row, place, usual, rank = fresh([*left.columns, *values, *right.columns], "key", "start", "end", "row", "rank", "usual", "first")
+    named = {"__start": s, "__end": e}
+    order, fallback = ([(named.get(c, c), d) for c, d in o] if o is not None else None for o in (order, fallback))
+    r = right.select(F.col(key).alias(k), F.col(start).alias(s), F.col(end).alias(e), *[F.col(v) for v in values])
+    tie = [(c, False) for c in (s, e, *values) if c not in dict(order) and intervals.orderable(r, c)]
     sort = lambda c, down: c.desc_nulls_first() if down else c.asc_nulls_last()
-    bounds = [F.col(key).alias("__key"), F.col(start).alias("__start"), F.col(end).alias("__end")]
-    r = right.select(*bounds, *[F.col(v) for v in values])
-    row, place = fresh(left, "row", "rank")
-    left = left.withColumn(row, distinct_key(left))
-    met = left.join(r, (left[key] == r["__key"]) & covers(F.col(at), F.col("__start"), F.col("__end"), closed), "left")
-    first = F.row_number().over(Window.partitionBy(row).orderBy(*[sort(F.col(c), d) for c, d in order]))
-    out = met.withColumn(place, first).where(F.col(place) == 1).withColumn("matched", F.col("__key").isNotNull()).drop(place, row, "__key", "__start", "__end")
+
+    def plain(own: DataFrame) -> DataFrame:
+        own = own.withColumn(row, distinct_key(own))
+        met = own.join(r, (own[key] == r[k]) & covers(F.col(at), F.col(s), F.col(e), closed), "left")
+        first = F.row_number().over(Window.partitionBy(row).orderBy(*[sort(F.col(c), d) for c, d in [*order, *tie]]))
+        return met.withColumn(place, first).where(F.col(place) == 1).withColumn("matched", F.col(k).isNotNull()).drop(place, row, k, s, e)
+
+    many = materialised(r.where(F.col(k).isNotNull()).groupBy(k).count().where(F.col("count") > most).select(k))
+    if many.isEmpty() or not intervals.sortable(r, [*order, *tie]):
+        out = plain(left)
+    else:
+        index = r.join(many, k, "left_semi")
+        own = left.join(many, left[key] == many[k], "left_semi")
+        out = plain(left.join(many, left[key] == many[k], "left_anti")).unionByName(intervals.best_indexed(own, index, key, at, k, s, e, [*order, *tie], values, closed))
     if fallback is None or mask_fallback:
         return out
-    rank = F.row_number().over(Window.partitionBy("__key").orderBy(*[sort(F.col(c), d) for c, d in fallback]))
-    usual = r.withColumn("__rank", rank).where("__rank = 1").select(F.col("__key").alias("__usual"), *[F.col(v).alias(f"__{v}") for v in values])
-    other = out.join(usual, out[key] == usual["__usual"], "left")
-    return other.withColumns({v: F.when(F.col("matched"), F.col(v)).otherwise(F.col(f"__{v}")) for v in values}).drop("__usual", *[f"__{v}" for v in values])
+    by = F.row_number().over(Window.partitionBy(k).orderBy(*[sort(F.col(c), d) for c, d in fallback]))
+    held = {v: f"{usual}_{n}" for n, v in enumerate(values)}
+    first = r.withColumn(rank, by).where(F.col(rank) == 1).select(F.col(k).alias(usual), *[F.col(v).alias(h) for v, h in held.items()])
+    other = out.join(first, out[key] == first[usual], "left")
+    return other.withColumns({v: F.when(F.col("matched"), F.col(v)).otherwise(F.col(h)) for v, h in held.items()}).drop(usual, *held.values())
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
