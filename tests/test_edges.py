@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from waymill.operators import dedupe, expect, finance, joins, lookup, merge, reshape, synth, timeseries
+from waymill.operators import dedupe, expect, finance, joins, lookup, merge, reshape, spatial, synth, timeseries
 from waymill.sources import files
 
 D = dt.datetime
@@ -71,9 +71,9 @@ def test_parameters_valid_now(spark):
 def test_nearest_of_far_points_and_ties(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, 0.0), (3, 0.5, 0.0)], "id int, x double, y double")
     places = spark.createDataFrame([("b", 1.0, 0.0), ("a", -1.0, 0.0), ("a2", 1.0, 0.0)], "place string, px double, py double")
-    out = joins.nearest(points, places, "id", "x", "y", "place", "px", "py", 1.0, rings=4)
+    out = spatial.nearest(points, places, "id", "x", "y", "place", "px", "py")
     assert rows(out) == [(1, "a", 1.0), (2, "a2", 499.0), (3, "a2", 0.5)]
-    assert joins.nearest(points.limit(0), places, "id", "x", "y", "place", "px", "py", 1.0).count() == 0
+    assert spatial.nearest(points.limit(0), places, "id", "x", "y", "place", "px", "py").count() == 0
 
 
 def test_vat_is_inferred_again_after_a_change(spark):

@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from waymill.operators import dedupe, joins, kpi, lookup, timeseries
+from waymill.operators import dedupe, joins, kpi, lookup, spatial, timeseries
 from waymill.sources import files
 
 
@@ -49,8 +49,8 @@ def test_repeated_items_do_not_count_rules_twice(spark):
 def test_the_nearest_place_may_be_any_way_off(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, 5e6, -7e6), (3, None, 1.0), (4, float("nan"), 0.0)], "id int, x double, y double")
     places = spark.createDataFrame([("here", 0.1, 0.1), ("there", -3e6, 0.0), ("nowhere", None, 0.0)], "place string, px double, py double")
-    assert [(r.id, r.place) for r in joins.nearest(points, places, "id", "x", "y", "place", "px", "py", 1.0).orderBy("id").collect()] == [(1, "here"), (2, "here")]
-    assert joins.nearest(points, places.limit(0), "id", "x", "y", "place", "px", "py", 1.0).count() == 0
+    assert [(r.id, r.place) for r in spatial.nearest(points, places, "id", "x", "y", "place", "px", "py").orderBy("id").collect()] == [(1, "here"), (2, "here")]
+    assert spatial.nearest(points, places.limit(0), "id", "x", "y", "place", "px", "py").count() == 0
 
 
 def test_paths_of_any_depth_and_circles(spark):

@@ -139,37 +139,6 @@ def routed(items: DataFrame, rules: DataFrame, name: str, pattern: str, target:
     return joined.select(*[items[c] for c in items.columns], "rule", "target", F.coalesce(n_rules, F.lit(0)).alias("n_rules"))
 
 
-def nearest(points: DataFrame, places: DataFrame, id_col: str, x: str, y: str, place: str, px: str, py: str, cell: float, rings: int = 4) -> DataFrame:
-    """id, place, distance: the planar nearest place of each point, however far, ties to the smaller place.
-
-    Points and places meet by grid cell: a place is put in the nine cells around its own, so any place within
-    one cell's width is met; what is nearer than that is certain. Points left over go on with a cell ten times as
-    wide; after so many rings the last one's cell spans the map, where every place is met. Points and places
-    without two finite coordinates have no answer and are none.
-    """
-    finite = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))
-    left = materialised(points.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where(finite("x", "y")))
-    q = materialised(places.select(F.col(place).alias("place"), F.col(px).cast("double").alias("px"), F.col(py).cast("double").alias("py")).where(finite("px", "py")))
-    both = left.select("x", "y").union(q.select("px", "py")).agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
-    span = max(cell, *(v or 0.0 for v in both)) * (1 + 1e-9)
-    out, size = None, cell
-    for ring in range(rings + 1):
-        last = ring == rings or size >= span
-        size = span if last else size
-        off = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))
-        cells = q.withColumn("dx", off).withColumn("dy", off).select("place", "px", "py", (F.floor(F.col("px") / size) + F.col("dx")).alias("cx"), (F.floor(F.col("py") / size) + F.col("dy")).alias("cy"))
-        own = left.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)})
-        gap = F.sqrt((F.col("px") - F.col("x")) ** 2 + (F.col("py") - F.col("y")) ** 2)
-        met = own.join(cells, ["cx", "cy"]).withColumn("distance", gap)
-        best = met.groupBy("id").agg(F.min(F.struct("distance", "place")).alias("b")).select("id", "b.place", "b.distance")
-        sure = materialised(best if last else best.where(F.col("distance") <= size))
-        out = sure if out is None else out.unionByName(sure)
-        left, size = left.join(sure, "id", "left_anti"), size * 10
-        if last or left.isEmpty():
-            break
-    return out
-
-
 def most_edits(length: int, threshold: float) -> int:
     """The most edits that keep a token's score over the threshold, the longer of both tokens having this length; -1 if none do."""
     k = length

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.operators import joins, names, reshape
+from waymill.operators import joins, names, reshape, spatial
 from waymill.operators.merge import path_ids
 from waymill.plans.tables import ORDER_INTERVALS, SHIPMENTS, order_intervals, shipments, table
 
@@ -127,7 +127,7 @@ HIERARCHY_IDS = """WITH p AS (SELECT r_name, n_name, s_name FROM supplier JOIN n
 def nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 97 + F.col("c_acctbal") % 1).alias("x"), (F.col("c_custkey") % 89 + F.col("c_acctbal") * 10 % 1).alias("y"))
     places = table(spark, sf_dir, "supplier").select(F.col("s_name"), (F.col("s_suppkey") * 7 % 101).cast("double").alias("px"), (F.col("s_suppkey") * 13 % 103).cast("double").alias("py"))
-    out = joins.nearest(points, places, "c_custkey", "x", "y", "s_name", "px", "py", 2.0, rings=3)
+    out = spatial.nearest(points, places, "c_custkey", "x", "y", "s_name", "px", "py")
     return out.select(F.col("id").alias("c_custkey"), F.col("place").alias("s_name"), F.round("distance", 6).alias("distance"))
 
 

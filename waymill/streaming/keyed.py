@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from waymill.operators.common import materialised
+from waymill.operators.spatial import PlaceIndex, nearest_in
 from waymill.sources.sinks import latest_version, replace, versions
 from waymill.streaming.stream import event_files
-from waymill.streaming.trips import GAP, NOISE_METRES, TRIP, TRIP_SCHEMA, end_places, geometry_text, last_trips, typed_events, vertices, without_repeats
+from waymill.streaming.trips import GAP, NOISE_METRES, TRIP, TRIP_SCHEMA, address_index, geometry_text, last_trips, typed_events, vertices, without_repeats
 
 GAP_MICROS, RADIUS = int(GAP.split()[0]) * 60_000_000, 6_371_008.8
 STATE = "start_at bigint, end_at bigint, first_lon double, first_lat double, lon double, lat double"
@@ -164,12 +165,12 @@ def keyed_pieces(raw: DataFrame, vehicles: DataFrame, start: DataFrame, keep_ms:
     return grouped.transformWithStateInPandas(TripProcessor(keep_ms), FOUND, "append", "processingTime" if keep_ms else "none", initialState=first.groupBy("vehicle_id"))
 
 
-def placed(found: DataFrame, addresses: DataFrame) -> DataFrame:
+def placed(found: DataFrame, spots: PlaceIndex) -> DataFrame:
     """Pieces with the nearest addresses of their trip's first and their own last place."""
     line = F.transform(F.arrays_zip("lons", "lats"), lambda p: F.struct(p["lons"].alias("lon"), p["lats"].alias("lat")))
     own = materialised(found.withColumn("number", F.monotonically_increasing_id()))
     ends = own.select("number", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("first_lon").alias("lon"), F.col("first_lat").alias("lat")), F.struct(F.lit(1).alias("which"), F.col("last_lon").alias("lon"), F.col("last_lat").alias("lat")))).alias("e"))
-    near = end_places(ends.select(F.struct("number", "e.which").alias("id"), "e.lon", "e.lat"), addresses)
+    near = nearest_in(spots, ends.select(F.struct("number", "e.which").alias("id"), "e.lon", "e.lat"), "id", "lon", "lat")
     sides = near.groupBy("id.number").agg(*[F.max(F.when(F.col("id.which") == k, F.col("place"))).alias(c) for k, c in enumerate(("start_location", "end_location"))])
     return own.join(sides, "number", "left").select("vehicle_id", "extends", wall_time("start_at").alias("start_at"), wall_time("end_at").alias("end_at"), line.alias("points"), "start_location", "end_location")
 
@@ -182,7 +183,7 @@ def run_keyed_trips(spark: SparkSession, folder: str, table: str, checkpoint: st
     """
     if latest_version(spark, f"{table}/whole") is None:
         replace(start.select(*TRIP), f"{table}/whole", 0)
-    known, spots = materialised(vehicles), materialised(addresses)
+    known, spots = materialised(vehicles), address_index(addresses)
 
     def step(batch: DataFrame, number: int) -> None:
         replace(placed(batch, spots), f"{table}/pieces", number)

@@ -13,7 +13,7 @@ from waymill.functions.standardise import coordinates, wall_clock
 from waymill.operators.common import materialised
 from waymill.operators.dedupe import first_per_key
 from waymill.operators.expect import has_only_key
-from waymill.operators.joins import nearest
+from waymill.operators.spatial import PlaceIndex, nearest_in, place_index
 from waymill.operators.timeseries import forward_fill, moved, sessions
 
 GAP, NOISE_METRES = "10 minutes", 15.0
@@ -90,19 +90,19 @@ def segments(points: DataFrame, last: DataFrame, gap: str = GAP, noise: float =
     return out.where("NOT extends OR n > 1").drop("n")
 
 
-def end_places(points: DataFrame, addresses: DataFrame, cell: float = 0.01) -> DataFrame:
-    """id and place of the nearest address (number street postcode city) of each point: id, lon, lat."""
+def address_index(addresses: DataFrame) -> PlaceIndex:
+    """Addresses, as number street postcode city, by their spot."""
     label = F.concat_ws(" ", "number", "street", "postal_code", "city")
     spot = F.element_at(vertices(F.col("geom")), 1)
     places = addresses.select(label.alias("place"), spot["lon"].alias("px"), spot["lat"].alias("py"))
-    return nearest(points, places, "id", "lon", "lat", "place", "px", "py", cell).select("id", "place")
+    return place_index(places, "place", "px", "py")
 
 
-def located(trips: DataFrame, addresses: DataFrame, cell: float = 0.01) -> DataFrame:
-    """Trips with the nearest address of their first and last vertex; text is number street postcode city."""
+def located(trips: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Trips with the nearest address of their first and last vertex."""
     ends = trips.select("vehicle_id", "start_at", F.posexplode(F.array(F.element_at(vertices(F.col("geometry")), 1), F.element_at(vertices(F.col("geometry")), -1))).alias("which", "p"))
     ends = ends.select(F.concat_ws("|", "vehicle_id", F.col("start_at").cast("string"), F.col("which").cast("string")).alias("id"), "p.lon", "p.lat")
-    near = end_places(ends, addresses, cell)
+    near = nearest_in(address_index(addresses), ends, "id", "lon", "lat")
     key = lambda k: F.concat_ws("|", "vehicle_id", F.col("start_at").cast("string"), F.lit(str(k)))
     pick = lambda k: near.select(F.col("id").alias(f"__id{k}"), F.col("place").alias(f"__place{k}"))
     met = trips.join(pick(0), key(0) == F.col("__id0"), "left").join(pick(1), key(1) == F.col("__id1"), "left")
