@@ -193,12 +193,15 @@ def apart(named: DataFrame, alike: tuple[int, int]) -> DataFrame:
 
     Of two prefixes one ends first in the order of hashes; up to there all common hashes are in both, after it
     come at most the rest of its own set. So hashes common to the prefixes and the larger rest bound the similarity.
+    Lists whose sets have one root are closed: sets of different roots have none of their hashes in common. So of a
+    prefix only the hashes of open lists go along.
     """
     part, whole = alike
     rows = lists_of(named, "fp", "n", "root")
     open_keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    # whole prefixes go only to the rows of open lists
-    open_rows = cut_lineage(rows.join(open_keys, "key", "left_semi")).join(named.select("fp", "first"), "fp")
+    held = cut_lineage(rows.join(open_keys, "key", "left_semi"))
+    firsts = held.groupBy("fp").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias("first"))
+    open_rows = held.join(firsts, "fp")
     a, b = (open_rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("fp", "n", "at", "root", "first")]) for s in "ab")
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     enough = lambda most: most * (part + whole) >= part * (F.col("n_a") + F.col("n_b"))

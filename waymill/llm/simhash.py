@@ -261,6 +261,8 @@ def first_rows(df: DataFrame, marks: DataFrame, mark: Callable[[Column], Column]
     chosen = cut_lineage(least.join(rows_of, F.col("id").eqNullSafe(F.col(key))).select(key, F.col("fp").alias(own), (F.col(key).isNotNull() & (F.col("n") == 1)).alias("alone")))
     alone = df.join(chosen.where("alone").select(key), df[id_col] == F.col(key), "left_semi")
     several = chosen.where("NOT alone").select(key, F.col(own).alias(own + "_"))
+    if several.isEmpty():
+        return alone
     unsure = df.join(several.select(key).distinct(), df[id_col].eqNullSafe(F.col(key)), "left_semi").withColumn(own, mark(F.col(text_col)))
     met = unsure.join(several, unsure[id_col].eqNullSafe(F.col(key)) & (F.col(own) == F.col(own + "_")), "left_semi")
     told = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
