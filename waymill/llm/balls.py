@@ -19,7 +19,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Points that are not split further; point and entry pairs measured in one step.
-LEAF, PAIRS = 16, 1 << 17
+LEAF, PAIRS = 32, 1 << 17
 
 
 class Forest(NamedTuple):

@@ -20,7 +20,7 @@ from waymill.llm.balls import Forest, forest, nearest_entries
 from waymill.llm.common import cut_lineage, fresh, written
 from waymill.llm.vectors import finite, matrix, whole
 
-BLOCK = 1024
+BLOCK = 4096
 _FOREST = {"order": "int", "nodes": "int", "radius": "double", "sums": "bigint", "roots": "int"}
 
 
