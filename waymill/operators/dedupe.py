@@ -31,9 +31,10 @@ def latest_per_column(df: DataFrame, keys: list[str], at: str, policies: dict[st
     Policies where those rows differ: "null" (unknown), "max", "min", "any" (the least). Null dates are oldest.
     """
     when = F.coalesce(F.col(at).cast("timestamp_ntz"), F.lit("1900-01-01").cast("timestamp_ntz"))
-    tops = [F.max(F.when(F.col(c).isNotNull(), when)).over(Window.partitionBy(*keys)).alias(f"__{c}") for c in policies]
-    top = df.select("*", when.alias("__at"), *tops)
-    value = {c: F.when(F.col("__at") == F.col(f"__{c}"), F.col(c)) for c in policies}
+    own, *held = fresh(df, "at", *[f"top{n}" for n in range(len(policies))])
+    tops = [F.max(F.when(F.col(c).isNotNull(), when)).over(Window.partitionBy(*keys)).alias(h) for c, h in zip(policies, held)]
+    top = df.select("*", when.alias(own), *tops)
+    value = {c: F.when(F.col(own) == F.col(h), F.col(c)) for c, h in zip(policies, held)}
     picks = {"null": lambda v: F.when(F.min(v) == F.max(v), F.max(v)), "max": F.max, "min": F.min, "any": F.min}
     return top.groupBy(*keys).agg(*[picks[how](value[c]).alias(c) for c, how in policies.items()])
 

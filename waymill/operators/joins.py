@@ -68,10 +68,11 @@ def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: s
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Fills only what is null in the left rows, from a right side that has each key at most once."""
-    r = right.select(*keys, *[F.col(v).alias(f"__{v}") for v in values])
-    met = left.join(r, keys, "left")
-    return met.withColumns({v: F.coalesce(F.col(v), F.col(f"__{v}")) if v in left.columns else F.col(f"__{v}") for v in values}).drop(*[f"__{v}" for v in values])
+    """Fills only what is null in the left rows, from a right side that has each key once; a repeated one fails while the join runs."""
+    held = dict(zip(values, fresh([*left.columns, *keys], *[f"v{n}" for n in range(len(values))])))
+    r = right.dropna(subset=keys).select(*keys, *[F.col(v).alias(h) for v, h in held.items()])
+    met = checked_join(left, r, keys)
+    return met.withColumns({v: F.coalesce(F.col(v), F.col(h)) if v in left.columns else F.col(h) for v, h in held.items()}).drop(*held.values())
 
 
 def unique_only(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,23 +105,27 @@ def not_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def paths(nodes: DataFrame, id_col: str, name_col: str, parent_col: str, mark: str = " > ") -> DataFrame:
-    """id, path (names from the root), depth of every node that a root reaches, level by level, however deep.
+    """id, path (names from the root), depth of every node that a root reaches, however deep.
 
-    Nodes of a circle that no root reaches have no path; a circle that one reaches, by an id with two parents, is an error.
+    By pointer doubling: each node has a path up to some ancestor, and takes that one's path in front of its own, so
+    paths double in length and the rounds are as many as the logarithm of the depth. A node without a parent is done; once a
+    round brings none to its end, no deeper one exists. Nodes of a circle that no root reaches have no path, nor have those
+    whose parent is missing; a circle that a root reaches, by an id with two parents, is an error.
     """
-    plain = nodes.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"), F.col(parent_col).alias("parent"))
-    level = materialised(plain.where("parent IS NULL").select("id", F.col("name").alias("path"), F.lit(1).alias("depth")))
-    out, depth, most = level, 1, None
-    while True:
-        depth += 1
-        up = level.select(F.col("id").alias("parent"), F.col("path").alias("above"))
-        level = materialised(plain.join(up, "parent").select("id", F.concat_ws(mark, "above", "name").alias("path"), F.lit(depth).alias("depth")))
-        if level.isEmpty():
-            return out
-        most = plain.count() if most is None else most
-        if depth > most:
+    now = materialised(nodes.select(F.col(id_col).alias("id"), F.col(name_col).cast("string").alias("path"), F.col(parent_col).alias("up"), F.lit(1).alias("depth")))
+    told = lambda df: df.agg(F.count("*"), F.count_if(F.col("up").isNull()), F.max(F.when(F.col("up").isNull(), F.col("depth")))).first()
+    most, done, _ = told(now)
+    while done:
+        above = now.select(F.col("id").alias("up"), F.col("path").alias("before"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        grown = now.join(above, "up").select("id", F.concat_ws(mark, "before", "path").alias("path"), F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
+        now = materialised(now.where("up IS NULL").unionByName(grown))
+        _, ended, deepest = told(now)
+        if deepest > most:
             raise ValueError("nodes go round in a circle")
-        out = out.unionByName(level)
+        if ended == done:
+            break
+        done = ended
+    return now.where("up IS NULL").select("id", "path", "depth")
 
 
 def routed(items: DataFrame, rules: DataFrame, name: str, pattern: str, target: str, text: str, most_rules: int = 10_000) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymill.operators.common import fresh
+
 SOCIAL_RATE, CORPORATE_RATE = 0.48, 0.25
 #: Kilometres a day and kg of CO2 a km of a rental car.
 RENTAL_KM_DAY, RENTAL_CO2_KM = 50, 0.1175
@@ -32,10 +34,6 @@ def total(column: str) -> Primitive:
     return lambda e: F.sum(money(column)).cast("double")
 
 
-def distinct(column: str) -> Primitive:
-    return lambda e: F.count_distinct(column).cast("double")
-
-
 def of_kinds(e: dict, key: str) -> Column:
     return F.col(key).isin(*(e["value"] if isinstance(e["value"], list) else [e["value"]]))
 
@@ -61,11 +59,6 @@ PRIMITIVES: dict[str, Primitive] = {
     "rental-cars-days": total("rental_days"),
     "lease-mileage": total("lease_mileage"),
     "lease-months": total("lease_months"),
-    "total-vehicles": distinct("vehicle_id"),
-    "total-drivers": distinct("driver_id"),
-    "total-collaborators": distinct("collaborator_id"),
-    "total-users": distinct("user_id"),
-    "total-travellers": distinct("traveller_id"),
     "vehicle-price": total("price"),
     "participation": lambda e: -F.sum(F.col("days_active") * money("daily_participation")).cast("double"),
     "declared-non-deduc-amortization": total("declared_amortisation"),
@@ -81,6 +74,8 @@ PRIMITIVES: dict[str, Primitive] = {
     "CO2-trains": total("co2_trains"),
     "CO2-planes": total("co2_planes"),
 }
+#: Columns whose different values are counted.
+COUNTED = {"total-vehicles": "vehicle_id", "total-drivers": "driver_id", "total-collaborators": "collaborator_id", "total-users": "user_id", "total-travellers": "traveller_id"}
 #: Aggregates over one vehicle's readings, summed over the vehicles of a perimeter: its span, and its latest reading
 #: (the largest of a day). Rows without vehicle or reading don't count.
 BY_VEHICLE: dict[str, Callable[[], Column]] = {
@@ -115,20 +110,42 @@ def compiled(tree: dict, implied: str = "x") -> Column:
     return F.try_divide(left, right) if op == "/" else left + right if op == "+" else left - right if op == "-" else left * right
 
 
+def distinct_counts(facts: DataFrame, perimeter: list[str], counted: dict[str, str]) -> DataFrame:
+    """The perimeter and, for each name, how many different values its column has; no row where all are null.
+
+    All columns in one pass: values are first made one of each by (perimeter, column, value), in narrow rows that Spark
+    reduces before it exchanges them, then counted; facts are not copied for each column.
+    """
+    values = F.array(*[F.struct(F.lit(n).alias("which"), F.col(c).cast("string").alias("value")) for n, c in enumerate(counted.values())])
+    which, value = fresh(perimeter, "which", "value")
+    each = facts.select(*perimeter, F.inline(values).alias(which, value)).where(F.col(value).isNotNull()).distinct()
+    return each.groupBy(*perimeter).agg(*[F.count_if(F.col(which) == n).cast("double").alias(name) for n, name in enumerate(counted)])
+
+
+def beside(grouped: DataFrame, other: DataFrame, perimeter: list[str]) -> DataFrame:
+    """Two tables of one row a perimeter, nulls equal."""
+    if not perimeter:
+        return grouped.crossJoin(other)  # one row each
+    held = fresh([*grouped.columns, *other.columns], *[f"p{n}" for n in range(len(perimeter))])
+    return grouped.join(other.withColumnsRenamed(dict(zip(perimeter, held))), [F.col(c).eqNullSafe(F.col(h)) for c, h in zip(perimeter, held)], "left").drop(*held)
+
+
 def evaluate(facts: DataFrame, perimeter: list[str], formulas: dict[str, dict]) -> DataFrame:
-    """One row per perimeter, one column per formula: each distinct primitive is aggregated once, in one grouping.
+    """One row per perimeter, one column per formula: each primitive is aggregated once.
 
-    Odometers are taken by vehicle first, in a grouping of their own that is joined by the perimeter, nulls equal.
+    Sums are one grouping; different values (``distinct_counts``) and odometers, taken by vehicle first, are groupings of
+    their own that are joined by the perimeter.
     """
     leaves = {name_of(e): e for tree in formulas.values() for e in elements(tree) if e["type"] != "constant"}
-    needed = [PRIMITIVES[e["type"]](e).alias(n) for n, e in leaves.items() if e["type"] not in BY_VEHICLE]
-    grouped = facts.groupBy(*perimeter).agg(*needed or [F.count("*").alias("n_facts")])
+    counted = {n: COUNTED[e["type"]] for n, e in leaves.items() if e["type"] in COUNTED}
     odometers = {n: e["type"] for n, e in leaves.items() if e["type"] in BY_VEHICLE}
+    needed = [PRIMITIVES[e["type"]](e).alias(n) for n, e in leaves.items() if n not in counted and n not in odometers]
+    grouped = facts.groupBy(*perimeter).agg(*needed or [F.count("*").alias("n_facts")])
+    if counted:
+        grouped = beside(grouped, distinct_counts(facts, perimeter, counted), perimeter).fillna(0.0, subset=[*counted])
     if odometers:
         each = facts.where("vehicle_id IS NOT NULL AND mileage IS NOT NULL").groupBy(*perimeter, "vehicle_id").agg(*[BY_VEHICLE[t]().alias(n) for n, t in odometers.items()])
-        summed_ = each.groupBy(*[F.col(c).alias(f"{c} of vehicles") for c in perimeter]).agg(*[F.sum(money(f"`{n}`")).cast("double").alias(n) for n in odometers])
-        same = [F.col(c).eqNullSafe(F.col(f"`{c} of vehicles`")) for c in perimeter]
-        grouped = grouped.join(summed_, same, "left") if same else grouped.crossJoin(summed_)
+        grouped = beside(grouped, each.groupBy(*perimeter).agg(*[F.sum(money(f"`{n}`")).cast("double").alias(n) for n in odometers]), perimeter)
     return grouped.select(*perimeter, *[compiled(t).alias(k) for k, t in formulas.items()])
 
 

@@ -17,10 +17,11 @@ def folded(c: Column) -> Column:
 def mapped(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str, enforce: bool = False, fold: bool = True) -> DataFrame:
     """The column's values through a mapping; unknown ones stay, or become null with ``enforce``. Of equal keys the least value counts."""
     shape = folded if fold else lambda c: c
-    m = mapping.groupBy(shape(F.col(key)).alias("__key")).agg(F.min(value).alias("__value"), F.lit(True).alias("__known"))
-    met = df.join(m, shape(F.col(column)) == F.col("__key"), "left")
-    out = F.when(F.col("__known"), F.col("__value")).otherwise(F.lit(None) if enforce else F.col(column))
-    return met.withColumn(column, out).drop("__key", "__value", "__known")
+    k, v, known = fresh(df, "key", "value", "known")
+    m = mapping.groupBy(shape(F.col(key)).alias(k)).agg(F.min(value).alias(v), F.lit(True).alias(known))
+    met = df.join(m, shape(F.col(column)) == F.col(k), "left")
+    out = F.when(F.col(known), F.col(v)).otherwise(F.lit(None) if enforce else F.col(column))
+    return met.withColumn(column, out).drop(k, v, known)
 
 
 def uncovered(df: DataFrame, column: str, mapping: DataFrame, key: str) -> DataFrame:
@@ -39,10 +40,11 @@ def grown_names(names: DataFrame, column: str, dictionary: DataFrame) -> DataFra
 
 def country_codes(df: DataFrame, column: str, countries: DataFrame, strict: bool = True) -> DataFrame:
     """alpha-3 codes of names and codes in any case; missing ones become empty, an unknown one fails while the job runs (or stays null)."""
-    m = countries.select(folded(F.col("name_key")).alias("__key"), "alpha3").distinct()
-    met = df.join(m, folded(F.col(column)) == F.col("__key"), "left")
+    k, code = fresh(df, "key", "code")
+    m = countries.select(folded(F.col("name_key")).alias(k), F.col("alpha3").alias(code)).distinct()
+    met = df.join(m, folded(F.col(column)) == F.col(k), "left")
     unknown = F.raise_error(F.concat(F.lit("no country "), F.col(column))).cast("string") if strict else F.lit(None).cast("string")
-    return met.withColumn(column, F.when(is_missing(F.col(column)), "").when(F.col("alpha3").isNotNull(), F.col("alpha3")).otherwise(unknown)).drop("__key", "alpha3")
+    return met.withColumn(column, F.when(is_missing(F.col(column)), "").when(F.col(code).isNotNull(), F.col(code)).otherwise(unknown)).drop(k, code)
 
 
 def found_in_text(df: DataFrame, column: str, id_col: str, keys: DataFrame, key: str, value: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from waymill.functions.standardise import nearly_equal
 from waymill.operators.common import fresh, sent_whole
+from waymill.operators.dedupe import conflict_to_null, first_per_key
 
 #: How an incoming value meets a stored one.
 MODES = ("keep", "null_only", "overwrite", "inc_null")
@@ -23,71 +24,96 @@ def merged_value(mode: str, stored: Column, incoming: Column) -> Column:
     return {"keep": stored, "null_only": F.coalesce(stored, incoming), "overwrite": F.coalesce(incoming, stored), "inc_null": incoming}[mode]
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str, columns: list[str] | None = None, modes: dict[str, str] | None = None) -> DataFrame:
-    """The target after the incoming rows, one per key; those with a null key are left out.
+def once_per_key(incoming: DataFrame, keys: list[str], repeated: str | list[Column] = "fail") -> DataFrame:
+    """Incoming rows with a key, one for each: of repeated ones the first by an order, their agreed values ("agree"), or an error while the job runs ("fail")."""
+    known = incoming.dropna(subset=keys)
+    if repeated == "agree":
+        return conflict_to_null(known, keys, [c for c in known.columns if c not in keys])
+    if repeated != "fail":
+        return first_per_key(known, keys, repeated)
+    (n,) = fresh(known, "n")
+    told = F.raise_error(F.concat(F.lit("incoming key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys])))
+    return known.withColumn(n, F.count("*").over(Window.partitionBy(*keys))).where(F.when(F.col(n) == 1, True).otherwise(told.cast("boolean"))).drop(n)
+
+
+class Sides:
+    """Stored and incoming rows side by side by key, under names that no column has."""
+
+    def __init__(self, target: DataFrame, incoming: DataFrame, keys: list[str]) -> None:
+        values = [c for c in target.columns if c not in keys]
+        self.stored, self.new, *held = fresh(target, "stored", "new", *[f"{s}{n}" for s in "ti" for n in range(len(values))])
+        self.t, self.i = dict(zip(values, held)), dict(zip(values, held[len(values) :]))
+        t = target.select(*keys, F.lit(True).alias(self.stored), *[F.col(c).alias(h) for c, h in self.t.items()])
+        i = incoming.select(*keys, F.lit(True).alias(self.new), *[F.col(c).alias(h) for c, h in self.i.items()])
+        self.rows = t.join(i, keys, "full_outer")
+
+
+def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str, columns: list[str] | None = None, modes: dict[str, str] | None = None, repeated: str | list[Column] = "fail") -> DataFrame:
+    """The target after the incoming rows; those with a null key are left out.
 
     ``columns`` limits what changes in stored rows; ``modes`` narrows the mode of single columns (protected ones).
+    ``repeated`` settles several incoming rows of one key: an order whose first counts, "agree" for the values in which they
+    all agree (null where they don't), "fail" for an error.
     """
-    values = [c for c in target.columns if c not in keys]
-    changing = set(columns or values)
-    t = target.select(*keys, F.lit(True).alias("__stored"), *[F.col(c).alias(f"__t_{c}") for c in values])
-    i = incoming.dropna(subset=keys).select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__i_{c}") for c in values])
-    both = t.join(i, keys, "full_outer")
+    both = Sides(target, once_per_key(incoming, keys, repeated), keys)
+    changing = set(columns or both.t)
 
     def value(c: str) -> Column:
-        stored, new = F.col(f"__t_{c}"), F.col(f"__i_{c}")
+        stored, new = F.col(both.t[c]), F.col(both.i[c])
         met = merged_value((modes or {}).get(c, mode), stored, new) if c in changing else stored
-        return F.when(F.col("__stored").isNull(), new).when(F.col("__new").isNull(), stored).otherwise(met).alias(c)
+        return F.when(F.col(both.stored).isNull(), new).when(F.col(both.new).isNull(), stored).otherwise(met).alias(c)
 
-    return both.select(*keys, *[value(c) for c in values])
+    return both.rows.select(*keys, *[value(c) for c in both.t])
 
 
 def duplicate_flags(incoming: DataFrame, stored: DataFrame, keys: list[str], id_col: str, numbers: list[str] = ()) -> DataFrame:
     """Incoming rows with the stored id of the same natural key; numbers are compared with two decimals, nulls equal each other."""
     shown = lambda c: F.round(F.col(c), 2).cast("decimal(18,2)") if c in numbers else F.col(c)
-    s = stored.groupBy(*[shown(k).alias(f"__{k}") for k in keys]).agg(F.min(id_col).alias(f"stored_{id_col}"))
+    held = dict(zip(keys, fresh(incoming, *[f"k{n}" for n in range(len(keys))])))
+    s = stored.groupBy(*[shown(k).alias(h) for k, h in held.items()]).agg(F.min(id_col).alias(f"stored_{id_col}"))
     cond = F.lit(True)
-    for k in keys:
-        cond = cond & shown(k).eqNullSafe(F.col(f"__{k}"))
-    return incoming.join(s, cond, "left").drop(*[f"__{k}" for k in keys])
+    for k, h in held.items():
+        cond = cond & shown(k).eqNullSafe(F.col(h))
+    return incoming.join(s, cond, "left").drop(*held.values())
 
 
-def new_versions(target: DataFrame, incoming: DataFrame, keys: list[str], start: str, end: str, tracked: dict[str, str], mode: str = "overwrite", tolerance: dict[str, float] | None = None) -> DataFrame:
+def new_versions(target: DataFrame, incoming: DataFrame, keys: list[str], start: str, end: str, tracked: dict[str, str], mode: str = "overwrite", tolerance: dict[str, float] | None = None, repeated: str | list[Column] = "fail") -> DataFrame:
     """Slowly changing versions after one incoming row per key.
 
     A key without a current version is inserted. Where no tracked column changed (kinds: text, number, date;
     null-safe; a number also by its tolerance), the current version's nulls are filled. A change closes the current
     version at the new start and adds one; with mode "null_only" changes are ignored. Incoming rows whose
-    start is not after the current one's only fill nulls.
+    start is not after the current one's only fill nulls. The current version is the one of latest start, then of latest
+    end, ties by all other columns. Repeated incoming keys are as in ``upsert``.
     """
     cols = target.columns
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(start).desc_nulls_last(), F.col(end).desc_nulls_first()))
+    tie = [F.col(c).asc_nulls_last() for c, kind in target.dtypes if c not in (*keys, start, end) and not kind.startswith("map")]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(start).desc_nulls_last(), F.col(end).desc_nulls_first(), *tie))
     (place,) = fresh(target, "rank")
     ranked = target.withColumn(place, rank)
     current, past = ranked.where(F.col(place) == 1).drop(place), ranked.where(F.col(place) > 1).drop(place)
-    t = current.select(*keys, F.lit(True).alias("__stored"), *[F.col(c).alias(f"__t_{c}") for c in cols if c not in keys])
-    i = incoming.dropna(subset=keys).select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__i_{c}") for c in cols if c not in keys])
+    both = Sides(current, once_per_key(incoming, keys, repeated), keys)
     changed = F.lit(False)
     for c, kind in tracked.items():
-        old, new = F.col(f"__t_{c}"), F.col(f"__i_{c}")
+        old, new = F.col(both.t[c]), F.col(both.i[c])
         limit = (tolerance or {}).get(c)
         same = nearly_equal(old, new, kind) if limit is None else F.when(old.isNull() | new.isNull(), old.isNull() & new.isNull()).otherwise(F.abs(old - new) <= limit)
         changed = changed | (new.isNotNull() & ~same)
-    both = t.join(i, keys, "full_outer").withColumn("__changed", F.coalesce(F.col("__stored") & F.col("__new") & changed & (F.col(f"__i_{start}") > F.col(f"__t_{start}")), F.lit(False)))
-    if mode == "null_only":
-        both = both.withColumn("__changed", F.lit(False))
-    stored, new, turned = F.col("__stored").isNotNull(), F.col("__new").isNotNull(), F.col("__changed")
+    later = F.col(both.stored) & F.col(both.new) & changed & (F.col(both.i[start]) > F.col(both.t[start]))
+    (turned_,) = fresh(both.rows, "changed")
+    rows = both.rows.withColumn(turned_, F.lit(False) if mode == "null_only" else F.coalesce(later, F.lit(False)))
+    stored, new, turned = F.col(both.stored).isNotNull(), F.col(both.new).isNotNull(), F.col(turned_)
 
     def kept(c: str) -> Column:
         if c in keys:
             return F.col(c)
-        old, inc = F.col(f"__t_{c}"), F.col(f"__i_{c}")
+        old, inc = F.col(both.t[c]), F.col(both.i[c])
         if c == end:
-            return F.when(turned, F.col(f"__i_{start}")).otherwise(old).alias(c)
+            return F.when(turned, F.col(both.i[start])).otherwise(old).alias(c)
         return F.when(turned | ~new, old).otherwise(F.coalesce(old, inc)).alias(c)
 
-    open_rows = both.where(stored).select(*[kept(c) for c in cols])
-    added = both.where(new & (~stored | turned)).select(*[F.col(c) if c in keys else F.col(f"__i_{c}").alias(c) for c in cols])
+    open_rows = rows.where(stored).select(*[kept(c) for c in cols])
+    added = rows.where(new & (~stored | turned)).select(*[F.col(c) if c in keys else F.col(both.i[c]).alias(c) for c in cols])
     return past.unionByName(open_rows).unionByName(added)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymill.operators.common import materialised
+from waymill.operators.common import bound, fresh, materialised
 
 LETTERS, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -43,30 +47,95 @@ def replicated(facts: DataFrame, sample: DataFrame, key: str) -> DataFrame:
     return facts.join(sample, key)
 
 
-def pseudonym(c: Column, seed: int = 0, salt: Column | None = None) -> Column:
-    """A text of the same shape: letters for letters, digits for digits, other characters as they are."""
-    parts = F.split(c, "")
-    base = [F.lit(seed), c, *([salt] if salt is not None else [])]
+#: Rounds of the permutation.
+ROUNDS = 8
+
+
+def shape_of(c: Column) -> Column:
+    """The text with A for each letter and 0 for each digit: texts of one shape are permuted among themselves."""
+    return F.regexp_replace(F.regexp_replace(c, "[A-Za-z]", "A"), "[0-9]", "0")
+
+
+def permuted(c: Column, seed: int) -> Column:
+    """Another text of the same shape, no two texts having the same one; null where it has neither letters nor digits.
+
+    A Feistel network over its letters and digits: halves take turns, each character of one is shifted, in its own
+    alphabet, by a hash of the other half, the shape, the round and its place. Shifts can be taken back, so the whole is a
+    permutation of all texts of a shape, capital letters for all.
+    """
+    chars = F.filter(F.split(F.upper(c), ""), lambda x: x.rlike("^[A-Z0-9]$"))
+    shape = shape_of(c)
+
+    def shifted(part: Column, other: Column, k: int) -> Column:
+        def one(ch: Column, i: Column) -> Column:
+            h = F.xxhash64(F.lit(seed), shape, F.lit(k), i, F.array_join(other, ""))
+            at = lambda alphabet: F.substring(F.lit(alphabet), (F.pmod(F.instr(F.lit(alphabet), ch) - 1 + F.pmod(h, F.lit(len(alphabet))), F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
+            return F.when(ch.between("0", "9"), at(DIGITS)).otherwise(at(LETTERS))
 
-    def other(ch: Column, i: Column) -> Column:
-        h = lambda n: F.pmod(F.xxhash64(*base, i), F.lit(n)).cast("int") + 1
-        return F.when(ch.rlike("^[0-9]$"), F.substring(F.lit(DIGITS), h(10), F.lit(1))).when(ch.rlike("^[A-Za-z]$"), F.substring(F.lit(LETTERS), h(26), F.lit(1))).otherwise(ch)
+        return F.transform(part, one)
 
-    return F.array_join(F.transform(parts, other), "")
+    def turn(k: int) -> Callable[[Column], Column]:
+        if k % 2:
+            return lambda s: F.struct(s["a"].alias("a"), shifted(s["b"], s["a"], k).alias("b"))
+        return lambda s: F.struct(shifted(s["a"], s["b"], k).alias("a"), s["b"].alias("b"))
 
+    def walked(x: Column) -> Column:
+        size = F.ceil(F.size(x) / 2).cast("int")
+        state = F.struct(F.slice(x, F.lit(1), size).alias("a"), F.slice(x, size + 1, F.size(x)).alias("b"))
+        for k in range(ROUNDS):
+            state = bound(state, turn(k))
+        return bound(state, lambda s: F.concat(s["a"], s["b"]))
 
-def unique_pseudonyms(keys: DataFrame, key: str, taken: DataFrame, seed: int = 0, rounds: int = 8) -> DataFrame:
-    """key, alias: distinct ones that are not taken either; who collides draws again with another salt."""
-    left, out = keys.select(key).dropna().distinct(), None
-    used = taken.select(F.col(taken.columns[0]).alias("alias"))
-    for salt in range(rounds):
-        drawn = left.withColumn("alias", pseudonym(F.col(key), seed, F.lit(salt)))
-        first = materialised(drawn.groupBy("alias").agg(F.min(key).alias(key)).join(used, "alias", "left_anti").select(key, "alias"))
-        out = first if out is None else out.unionByName(first)
-        left, used = left.join(first, key, "left_anti"), used.unionByName(first.select("alias"))
-        if left.isEmpty():
-            return out
-    raise ValueError(f"no free pseudonym for some keys after {rounds} rounds")
+    def written(new: Column) -> Column:
+        every = F.split(c, "")
+        place = lambda i: F.size(F.filter(F.slice(every, F.lit(1), i + 1), lambda x: x.rlike("^[A-Za-z0-9]$")))
+        return F.array_join(F.transform(every, lambda x, i: F.when(x.rlike("^[A-Za-z0-9]$"), F.element_at(new, place(i))).otherwise(x)), "")
+
+    return F.when(F.size(chars) > 0, bound(walked(chars), written))
+
+
+def texts_of(spark: SparkSession, shape: str, name: str) -> DataFrame:
+    """All texts of a shape."""
+    sizes = [{"A": 26, "0": 10}.get(ch, 1) for ch in shape]
+    steps = [math.prod(sizes[k + 1 :]) for k in range(len(shape))]
+    one = lambda ch, n, d: F.substring(F.lit(LETTERS if n == 26 else DIGITS), F.expr(f"int(id div {d}L % {n}) + 1"), F.lit(1)) if n > 1 else F.lit(ch)
+    return spark.range(math.prod(sizes)).select(F.concat(*[one(ch, n, d) for ch, n, d in zip(shape, sizes, steps)]).alias(name))
+
+
+def unique_pseudonyms(keys: DataFrame, key: str, taken: DataFrame, seed: int = 0, rounds: int = 64) -> DataFrame:
+    """key, alias: an alias of the same shape for each different key, all different, none taken.
+
+    The permutation gives different keys different aliases in one pass. Only those whose alias is taken, and keys equal to
+    another but for the case of letters, walk on along the permutation to the next free one. Shapes of which over an eighth
+    is in use are dealt exactly instead: all their free texts, as many as keys and taken ones at most eight times, are
+    numbered, and so are the keys. Too few free texts are an error, as is a key without letters and digits.
+    """
+    own = materialised(keys.select(F.col(key).alias("key")).dropna().distinct())
+    used = taken.select(F.col(taken.columns[0]).alias("alias")).dropna().distinct()
+    count = lambda df, c, name: df.groupBy(shape_of(F.col(c)).alias("shape")).agg(F.count("*").alias(name))
+    size = F.pow(F.lit(26.0), F.length(F.regexp_replace("shape", "[^A]", ""))) * F.pow(F.lit(10.0), F.length(F.regexp_replace("shape", "[^0]", "")))
+    shapes = count(own, "key", "n").join(count(used, "alias", "m"), "shape", "left").fillna(0, ["m"]).where((F.col("n") + F.col("m")) * 8 > size).orderBy("shape")
+    dense = [(r.shape, r.n) for r in shapes.select("shape", "n").collect()]  # the space of each is bounded by its rows
+    out = []
+    for shape, n in dense:
+        if not set(shape) & {"A", "0"}:
+            raise ValueError(f"keys like {shape!r} have no letters or digits to change")
+        free = materialised(texts_of(own.sparkSession, shape, "alias").join(used, "alias", "left_anti"))
+        if free.count() < n:
+            raise ValueError(f"fewer free pseudonyms than keys of the shape {shape}")
+        places = numbered(own.where(shape_of(F.col("key")) == shape), "key", seed).join(numbered(free, "alias", seed + 1), "place")
+        out.append(places.select("key", "alias"))
+    left = own.where(~shape_of(F.col("key")).isin([s for s, _ in dense])) if dense else own
+    held, walking = materialised(used), left.withColumn("alias", F.col("key"))
+    for _ in range(rounds):
+        drawn = walking.withColumn("alias", permuted(F.col("alias"), seed))
+        first = materialised(drawn.groupBy("alias").agg(F.min("key").alias("key")).join(held, "alias", "left_anti").select("key", "alias"))
+        out.append(first)
+        walking = materialised(drawn.join(first, "key", "left_anti"))
+        if walking.isEmpty():
+            return reduce(DataFrame.unionByName, out).withColumnRenamed("key", key)
+        held = held.unionByName(first.select("alias"))
+    raise ValueError(f"no free pseudonym for some keys after {rounds} steps")
 
 
 def word_pseudonym(c: Column, words: list[str], seed: int = 0) -> Column:
@@ -82,11 +151,12 @@ def person_fields(first: Column, last: Column, key: Column, domain: str = "examp
 
 def remapped_keys(facts: DataFrame, mapping: DataFrame, column: str, old: str, new: str) -> DataFrame:
     """A foreign key put over to its new value; one without a new value fails while the job runs."""
-    m = mapping.select(F.col(old).alias("__old"), F.col(new).alias("__new"))
-    met = facts.join(m, F.col(column) == F.col("__old"), "left")
+    before, after = fresh(facts, "old", "new")
+    m = mapping.select(F.col(old).alias(before), F.col(new).alias(after))
+    met = facts.join(m, F.col(column) == F.col(before), "left")
     missing = F.raise_error(F.concat(F.lit(f"no parent for {column} "), F.col(column).cast("string")))
-    value = F.when(F.col(column).isNull(), None).when(F.col("__old").isNull(), missing.cast(dict(mapping.dtypes)[new])).otherwise(F.col("__new"))
-    return met.withColumn(column, value).drop("__old", "__new")
+    value = F.when(F.col(column).isNull(), None).when(F.col(before).isNull(), missing.cast(dict(mapping.dtypes)[new])).otherwise(F.col(after))
+    return met.withColumn(column, value).drop(before, after)
 
 
 def changed(df: DataFrame, column: str, condition: Column, key: str, factor: tuple[float, float] | None = None, shift: tuple[float, float] | None = None, choices: list[str] | None = None, seed: int = 0) -> DataFrame:

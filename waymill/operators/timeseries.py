@@ -34,13 +34,14 @@ def moved(df: DataFrame, keys: list[str], order: list[str], lon: str, lat: str,
 def merged_intervals(df: DataFrame, keys: list[str], start: str, end: str, keep: list[str] = ()) -> DataFrame:
     """Unions of intervals that overlap or touch; null bounds are the far future. ``keep`` columns come from an island's first interval."""
     far = F.lit("9999-12-31").cast("timestamp_ntz")
-    own = df.withColumns({"__s": F.coalesce(F.col(start).cast("timestamp_ntz"), far), "__e": F.coalesce(F.col(end).cast("timestamp_ntz"), far)})
-    w = Window.partitionBy(*keys).orderBy("__s", "__e", *keep)
-    reach = F.max("__e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = own.withColumn("__new", F.coalesce((F.col("__s") > reach).cast("int"), F.lit(1))).withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s, e, new, island = fresh(df, "start", "end", "new", "island")
+    own = df.withColumns({s: F.coalesce(F.col(start).cast("timestamp_ntz"), far), e: F.coalesce(F.col(end).cast("timestamp_ntz"), far)})
+    w = Window.partitionBy(*keys).orderBy(s, e, *keep)
+    reach = F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = own.withColumn(new, F.coalesce((F.col(s) > reach).cast("int"), F.lit(1))).withColumn(island, F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     open_ = lambda c: F.when(c < far, c)
-    out = island.groupBy(*keys, "__island").agg(open_(F.min("__s")).alias(start), open_(F.max("__e")).alias(end), F.count("*").alias("n_merged"), *[F.min_by(c, F.struct("__s", "__e", *keep)).alias(c) for c in keep])
-    return out.drop("__island")
+    out = numbered.groupBy(*keys, island).agg(open_(F.min(s)).alias(start), open_(F.max(e)).alias(end), F.count("*").alias("n_merged"), *[F.min_by(c, F.struct(s, e, *keep)).alias(c) for c in keep])
+    return out.drop(island)
 
 
 def month_spine(df: DataFrame, keys: list[str], first: str, last: str, name: str = "month") -> DataFrame:
