@@ -77,6 +77,27 @@ def violations(df: DataFrame, contract: list[Expected]) -> DataFrame:
     return out.select(F.split_part("test", F.lit(":"), F.lit(1)).alias("rule"), F.split_part("test", F.lit(":"), F.lit(2)).alias("column_name"), "n")
 
 
+def faults(contract: list[Expected], now: Column | None = None, dates: list[str] = (), vat: tuple[str, str, str] | None = None) -> dict[str, Column]:
+    """Conditions that no row should meet, by what they are: for counting while rows are written (``sinks.append_checked``).
+
+    Nulls where none may be, values outside their pattern or list, dates after ``now``, amounts (with tax, without, tax)
+    that don't agree. What needs other rows or tables, as uniqueness and parents do, is ``violations`` and ``orphans``.
+    """
+    out: dict[str, Column] = {}
+    for e in contract:
+        c = F.col(e.name)
+        if not e.nullable:
+            out[f"{e.name} missing"] = c.isNull()
+        if e.pattern:
+            out[f"{e.name} not like {e.pattern}"] = ~c.cast("string").rlike(e.pattern)
+        if e.values:
+            out[f"{e.name} not allowed"] = ~c.cast("string").isin(*e.values)
+    out |= {f"{d} in the future": F.col(d) > now for d in dates}
+    if vat:
+        out["tax not consistent"] = ~vat_consistent(*map(F.col, vat))
+    return out
+
+
 def orphans(df: DataFrame, column: str, parents: DataFrame, parent: str) -> DataFrame:
     """Distinct values that are not null and have no parent."""
     return df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct().join(parents.select(F.col(parent).alias("value")), "value", "left_anti")

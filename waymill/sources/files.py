@@ -6,6 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -29,6 +30,52 @@ def delimited(spark: SparkSession, paths: str | list[str], columns: list[str] |
     return rows.withColumnsRenamed({a: b for a, b in names.items() if a != b})
 
 
+def _headers(spark: SparkSession, path: str, mark: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """The files that a path or pattern names, by their first line; one line of each is read, wherever Spark can read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store, out = where.getFileSystem(conf), {}
+    found = [x for top in store.globStatus(where) or [] for x in (store.listStatus(top.getPath()) if top.isDirectory() else [top])]
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    for x in found:
+        if x.isDirectory() or x.getPath().getName()[0] in "._":
+            continue
+        stream, codec = store.open(x.getPath()), codecs.getCodec(x.getPath())
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+        line = lines.readLine()
+        lines.close()
+        if line is not None:
+            header = tuple(c.strip() for c in next(csv.reader([line.removeprefix("\ufeff")], delimiter=mark)))
+            out.setdefault(header, []).append(x.getPath().toString())
+    return out
+
+
+def delimited_by_name(spark: SparkSession, path: str, columns: list[str] | dict[str, str], mark: str = ";", encoding: str = "ISO-8859-1", skip: list[str] = (), skip_broken: bool = False) -> DataFrame:
+    """All columns as text under the names given, found by name in headers of any order, file by file; with ``file`` and ``corrupt``.
+
+    A missing or repeated column fails. Columns that nobody named may be there if listed in ``skip``, or if they have no
+    values (nothing, or 0); another value fails while it is read. Files of one header are one scan.
+    """
+    names = columns if isinstance(columns, dict) else {c: c for c in columns}
+    parts = []
+    for header, paths in sorted(_headers(spark, path, mark, encoding).items()):
+        for n in names:
+            if header.count(n) != 1:
+                raise ValueError(f"{paths[0]}: the header has column {n} {header.count(n)} times")
+        at = [f"c{k}" for k in range(len(header))]
+        read = spark.read.schema(", ".join(f"{c} string" for c in [*at, "corrupt"])).option("sep", mark).option("encoding", encoding).option("header", True).option("enforceSchema", True)
+        rows = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").option("ignoreCorruptFiles", str(skip_broken).lower()).csv(paths)
+        empty = F.lit(True)
+        for k, n in enumerate(header):
+            if n not in names and n not in skip:
+                told = F.raise_error(F.concat(F.lit(f"column {n} of the header is not expected and has the value "), F.col(at[k]))).cast("boolean")
+                empty = empty & F.when(F.coalesce(F.trim(at[k]), F.lit("")).isin("", "0"), True).otherwise(told)
+        parts.append(rows.where(empty).select(*[F.col(at[header.index(n)]).alias(new) for n, new in names.items()], F.col("_metadata.file_path").alias("file"), "corrupt"))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*names.values(), "file", "corrupt"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table(df: DataFrame, contract: list[Expected], connector: str, dataset: str, name: str) -> DataFrame:
     """A scan brought under its contract and stamped with its source."""
     return with_provenance(conform(df, contract), connector, dataset, name)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def _files(spark: SparkSession, path: str):
@@ -50,3 +51,56 @@ def cached(spark: SparkSession, path: str, build) -> DataFrame:
     """A table built once and read from then on."""
     found = latest_version(spark, path)
     return spark.read.parquet(found or replace(build(), path, 1))
+
+
+class Refused(ValueError):
+    """A batch that doesn't meet its expectations; ``found`` has the counts."""
+
+    def __init__(self, name: str, found: dict[str, int]) -> None:
+        super().__init__(f"batch {name}: {', '.join(f'{n} {k}' for k, n in found.items())}")
+        self.found = found
+
+
+#: A batch of an appended table counts once it has this file.
+WHOLE = "_WHOLE"
+
+
+def append_checked(df: DataFrame, table: str, name: str, faults: dict[str, Column], refuse: bool = True) -> dict[str, int]:
+    """Adds the rows as the batch ``name`` (a synchronisation id) of a table, counting rows and faults in the job that writes them.
+
+    faults: conditions that no row should meet, by what they are. With ``refuse``, a batch that has some never counts, and
+    ``Refused`` tells how many of which; else they are returned with the number of rows. A batch of the same name is replaced.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(f"f{k}") for k, c in enumerate(faults.values())]]
+    path = f"{table}/batch={name}"
+    roll_back(spark, table, name)
+    df.observe(seen, *counts).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    got = seen.get
+    found = {what: got[f"f{k}"] for k, what in enumerate(faults) if got[f"f{k}"]}
+    if found and refuse:
+        roll_back(spark, table, name)
+        raise Refused(name, found)
+    fs, _, jvm = _files(spark, path)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{WHOLE}"), True).close()
+    return {"rows": got["rows"]} | found
+
+
+def roll_back(spark: SparkSession, table: str, name: str) -> bool:
+    """Takes one batch out of a table: first it counts no more, then its files go. Whether there was one."""
+    fs, path, jvm = _files(spark, f"{table}/batch={name}")
+    if not fs.exists(path):
+        return False
+    fs.delete(jvm.org.apache.hadoop.fs.Path(path, WHOLE), False)
+    return fs.delete(path, True)
+
+
+def appended(spark: SparkSession, table: str, schema: str) -> DataFrame:
+    """All rows of whole batches, with the batch's name as ``batch``."""
+    fs, root, jvm = _files(spark, table)
+    whole = [x.getPath() for x in (fs.listStatus(root) if fs.exists(root) else []) if fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), WHOLE))]
+    if not whole:
+        return spark.createDataFrame([], f"{schema}, batch string")
+    read = spark.read.schema(f"{schema}, batch string").option("basePath", table)
+    return read.parquet(*[p.toString() for p in whole])

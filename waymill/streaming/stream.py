@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waymill.operators.common import materialised
-from waymill.sources.sinks import latest_version, replace
+from waymill.sources.files import routed_files
+from waymill.sources.sinks import latest_version, replace, versions
 from waymill.streaming.trips import EVENT_SCHEMA, TRIP_SCHEMA, next_trips
 
 
@@ -98,3 +99,31 @@ def kafka(spark: SparkSession, servers: str, topic: str, schema: str, **options:
     """JSON payloads of a topic; use with ``trigger(availableNow=True)`` to read what there is. Needs Spark's Kafka package."""
     raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).options(**options).load()
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
+
+
+def route_arrivals(spark: SparkSession, folder: str, routes: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Routes all files that have arrived, each once: those with exactly one route to ``table``/routed, others to ``table``/quarantine.
+
+    routes: pattern, organisation, connector. A version of each table is a batch: path, modified, length and the route, or why
+    there is none. Files are listed, not read. A batch that runs again writes the same versions; files of earlier ones are not seen again.
+    """
+    known = materialised(routes)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("recursiveFileLookup", True).load(folder)
+
+    def step(batch: DataFrame, number: int) -> None:
+        met = materialised(routed_files(batch, known))
+        replace(met.where("n_routes = 1").drop("n_routes"), f"{table}/routed", number)
+        fault = F.when(F.col("n_routes") == 0, F.lit("no route")).otherwise(F.concat(F.col("n_routes").cast("string"), F.lit(" routes")))
+        others = met.where("n_routes <> 1").groupBy("path", "modified", "length").agg(F.min(fault).alias("fault"), F.array_sort(F.collect_set("pattern")).alias("patterns"))
+        replace(others, f"{table}/quarantine", number)
+
+    listed = files.select("path", F.col("modificationTime").alias("modified"), "length")
+    return listed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def arrivals(spark: SparkSession, table: str, which: str) -> DataFrame:
+    """All files so far of "routed" or "quarantine"."""
+    paths = [p for _, p in versions(spark, f"{table}/{which}")]
+    more = "pattern string, organisation string, connector string" if which == "routed" else "fault string, patterns array<string>"
+    schema = f"path string, modified timestamp, length bigint, {more}"
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
