@@ -15,10 +15,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymill.operators.common import materialised, sent_whole
+from waymill.operators.common import materialised
 
-#: Places of a leaf and boxes of a box, as powers of two; bits of the curve for each axis; places that are sorted in one task.
-LEAF, FAN, BITS, SORTED = 5, 4, 24, 200_000
+#: Places of a leaf and boxes of a box, as powers of two; bits of the curve for each axis; places that are sorted in one
+#: task; boxes of a level that is sent whole.
+LEAF, FAN, BITS, SORTED, SENT = 5, 4, 24, 200_000, 10_000
 
 
 class PlaceIndex(NamedTuple):
@@ -51,19 +52,18 @@ def place_index(places: DataFrame, place: str, px: str, py: str) -> PlaceIndex:
     coded = spots.withColumns({"cx": on_axis("px", x0, x1), "cy": on_axis("py", y0, y1)})
     coded = coded.withColumn("code", F.expr(f"{spread_bits('cx')} | shiftleft({spread_bits('cy')}, 1)")).drop("cx", "cy")
     parts = max(1, math.ceil(n / SORTED))
-    dealt = coded.repartitionByRange(parts, "code", "px", "py").sortWithinPartitions("code", "px", "py")
-    numbered = materialised(dealt.withColumn("id", F.monotonically_increasing_id()).drop("code"))
-    in_part, part = F.col("id").bitwiseAND((1 << 33) - 1), F.shiftright("id", 33)
-    most, last = numbered.agg(F.max(in_part), F.max(part)).first()
-    width = max(LEAF, most.bit_length())
-    leaves = materialised(numbered.select(F.shiftright(F.shiftleft(part, width).bitwiseOR(in_part), LEAF).alias("leaf"), "px", "py", "place"))
+    dealt = coded.repartitionByRange(parts, "code", "px", "py").sortWithinPartitions("code", "px", "py").withColumn("id", F.monotonically_increasing_id())
+    in_part, part, width = F.col("id").bitwiseAND((1 << 33) - 1), F.shiftright("id", 33), max(LEAF, (n - 1).bit_length())
+    leaves = materialised(dealt.select(F.shiftright(F.shiftleft(part, width).bitwiseOR(in_part), LEAF).alias("leaf"), "px", "py", "place"))
     boxes = materialised(leaves.groupBy("leaf").agg(F.min("px").alias("xl"), F.max("px").alias("xh"), F.min("py").alias("yl"), F.max("py").alias("yh")))
-    bits = max(0, width - LEAF + last.bit_length())
+    bits = width - LEAF + (parts - 1).bit_length()
     levels = []
     for above in range(math.ceil(bits / FAN) - 1, -1, -1):
         node = F.shiftright("leaf", above * FAN)
         level = boxes.groupBy(node.alias("node")).agg(F.min("xl").alias("xl"), F.max("xh").alias("xh"), F.min("yl").alias("yl"), F.max("yh").alias("yh"))
-        levels.append(materialised(level.withColumn("parent", F.shiftright("node", FAN))))
+        level = level.withColumn("parent", F.shiftright("node", FAN))
+        most = (n >> (LEAF + above * FAN)) + 2 * parts  # boxes of this level
+        levels.append(F.broadcast(level) if most <= SENT else materialised(level))
     return PlaceIndex(leaves, levels)
 
 
@@ -89,7 +89,7 @@ def nearest_in(index: PlaceIndex, points: DataFrame, id_col: str, x: str, y: str
     at = left.select("row", "x", "y", F.lit(0).cast("bigint").alias("at"))
     each = Window.partitionBy("row")
     for level in index.levels:
-        met = at.join(sent_whole(level), F.col("at") == F.col("parent"))
+        met = at.join(level, F.col("at") == F.col("parent"))
         begins = gap("x", "xl", "xh") ** 2 + gap("y", "yl", "yh") ** 2
         near = met.select("row", "x", "y", "node", begins.alias("begins"), F.min(sure_within("x", "y")).over(each).alias("sure"))
         at = near.where(F.col("begins") <= F.col("sure") * (1 + 1e-9) + 1e-300).select("row", "x", "y", F.col("node").alias("at"))
