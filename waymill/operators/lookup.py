@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import folded_name_key, is_missing, without_accents
-from waymill.operators.common import fresh, materialised
+from waymill.operators.common import fresh
 
 
 def folded(c: Column) -> Column:
@@ -81,15 +85,32 @@ def first_known(df: DataFrame, column: str, chain: list[tuple[DataFrame, str, st
 
 
 def tree_edges(df: DataFrame, json_col: str) -> DataFrame:
-    """id, name, parent of every node of trees {"id", "name", "children": […]}, one level a step until none is left."""
-    node = "struct<id:string,name:string,children:array<string>>"
-    level = materialised(df.select(F.from_json(json_col, node).alias("n"), F.lit(None).cast("string").alias("parent")))
-    out = None
-    while out is None or not level.isEmpty():
-        here = level.select(F.col("n.id").alias("id"), F.col("n.name").alias("name"), "parent").where("id IS NOT NULL")
-        out = here if out is None else out.unionByName(here)
-        level = materialised(level.select(F.explode("n.children").alias("c"), F.col("n.id").alias("parent")).select(F.from_json("c", node).alias("n"), "parent"))
-    return out
+    """id, name, parent of every node of trees {"id", "name", "children": […]}, in one pass over the texts; nodes without id are left out.
+
+    A text that is no JSON has no nodes. A tree is walked where its text is, so no step depends on the depth of the deepest one.
+    """
+
+    def edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shown = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
+        for batch in batches:
+            rows = []
+            for text in batch[json_col]:
+                try:
+                    todo = [(json.loads(text), None)] if text else []
+                except ValueError:
+                    continue
+                while todo:
+                    node, parent = todo.pop()
+                    if not isinstance(node, dict):
+                        continue
+                    name = shown(node.get("id"))
+                    if name is not None:
+                        rows.append((name, shown(node.get("name")), parent))
+                    children = node.get("children")
+                    todo += [(c, name) for c in children] if isinstance(children, list) else []
+            yield pd.DataFrame(rows, columns=["id", "name", "parent"], dtype=object)
+
+    return df.select(json_col).mapInPandas(edges, "id string, name string, parent string")
 
 
 def active_wins(active: DataFrame, archived: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from waymill.functions.standardise import haversine
 from waymill.operators import timeseries as ts
 from waymill.operators.dedupe import current_version, first_per_key
 from waymill.plans.tables import ORDER_INTERVALS, cents, dsum, order_intervals, table
+from waymill.streaming import trips
 from waymill.streaming import stream
 
 
@@ -209,8 +210,58 @@ MILEAGE_PER_PERIOD = f"""WITH {ORDER_INTERVALS} SELECT iv.o_orderkey AS attribut
  FROM orders o JOIN iv ON o.o_custkey = iv.o_custkey AND o.o_orderdate >= date_from AND (date_to IS NULL OR o.o_orderdate < date_to) GROUP BY 1, 2"""
 
 
+def raw_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Device messages made of the events, the vehicles of their devices, and addresses made of the suppliers.
+
+    Two vehicles' worth of users; places move by some 100 m or by 5 m; errors and signups turn an engine off and on; other
+    messages, unknown devices and messages of another shape are among them.
+    """
+    e = table(spark, sf_dir, "events")
+    vin = F.when(F.col("user_id") % 11 == 0, F.lit("nobody")).otherwise(F.concat(F.lit("vin-"), F.col("user_id") % 2))
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    lon, lat = (F.floor(F.col("event_id") / 3) % 50 * 0.001).cast("double"), (F.col("user_id") % 20 * 0.00005).cast("double")
+    place = F.to_json(F.struct(F.struct(F.struct(F.struct(lon.alias("longitude"), lat.alias("latitude")).alias("data"), at.alias("timestamp")).alias("coordinates")).alias("vehicle_location")))
+    status = F.when(F.col("event_type") == "error", "off").otherwise("on")
+    engine = F.to_json(F.struct(F.struct(F.struct(status.alias("data"), at.alias("timestamp")).alias("status")).alias("engine")))
+    is_engine, is_other = F.col("event_type").isin("error", "signup"), F.col("event_id") % 13 == 0
+    kind = F.when(is_other, "diagnostics").when(is_engine, "engine").otherwise("vehicle_location")
+    raw = e.select(vin.alias("vin"), F.when(is_engine, engine).otherwise(place).alias("data"), kind.alias("capability"))
+    vehicles = e.select((F.col("user_id") % 2).alias("k")).distinct().select(F.concat(F.lit("v"), "k").alias("id"), F.concat(F.lit("vin-"), "k").alias("vin"))
+    spot = F.concat(F.lit("POINT("), (F.col("s_suppkey") % 50 * 0.001).cast("decimal(9,3)").cast("string"), F.lit(" 0.0003)"))
+    addresses = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("number"), F.lit("street").alias("street"), F.lit("1").alias("postal_code"), F.col("s_name").alias("city"), spot.alias("geom"))
+    return raw, vehicles, addresses
+
+
+def trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of all messages: typed, joined to vehicles, gated by engine, freed of small moves, cut at gaps, connected, located."""
+    raw, vehicles, addresses = raw_messages(spark, sf_dir)
+    out = trips.next_trips(raw, vehicles, spark.createDataFrame([], trips.TRIP_SCHEMA), addresses)
+    v = trips.vertices(F.col("geometry"))
+    ends = {f"{name}_{c}": F.round(F.element_at(v, k)[c], 6) for k, name in ((1, "first"), (-1, "last")) for c in ("lon", "lat")}
+    return out.select("vehicle_id", "start_at", "end_at", F.size(v).cast("bigint").alias("n_vertices"), F.startswith("geometry", F.lit("LINE")).alias("is_line"), *[c.alias(n) for n, c in ends.items()], "start_location", "end_location")
+
+
+TRIP_TABLE = r"""WITH m AS (SELECT CASE user_id % 2 WHEN 0 THEN 'v0' ELSE 'v1' END AS vehicle_id, ts, CASE WHEN event_type IN ('error', 'signup') THEN 'engine' ELSE 'vehicle_location' END AS kind, CASE event_type WHEN 'error' THEN 'off' WHEN 'signup' THEN 'on' END AS status,
+   CAST(floor(event_id / 3) % 50 AS DOUBLE) * CAST(0.001 AS DOUBLE) AS lon, CAST(user_id % 20 AS DOUBLE) * CAST(0.00005 AS DOUBLE) AS lat FROM events WHERE user_id % 11 <> 0 AND event_id % 13 <> 0),
+ g AS (SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY vehicle_id ORDER BY ts, kind, lon, lat ROWS UNBOUNDED PRECEDING) AS engine FROM m),
+ p AS (SELECT DISTINCT vehicle_id, ts, lon, lat FROM g WHERE kind = 'vehicle_location' AND coalesce(engine, 'on') = 'on'),
+ b AS (SELECT *, lag(lon) OVER w AS plon, lag(lat) OVER w AS plat FROM p WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, lon, lat)),
+ d AS (SELECT * FROM b WHERE plon IS NULL OR 2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2))) > 15),
+ n AS (SELECT *, CASE WHEN ts > lag(ts) OVER w + INTERVAL 10 MINUTES THEN 1 ELSE 0 END AS new FROM d WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts, lon, lat)),
+ s AS (SELECT *, sum(new) OVER (PARTITION BY vehicle_id ORDER BY ts, lon, lat ROWS UNBOUNDED PRECEDING) AS seg FROM n),
+ x AS (SELECT vehicle_id, seg, ts, lon, lat, 1 AS mine FROM s UNION ALL SELECT vehicle_id, seg, ts, plon, plat, 0 FROM s WHERE new = 1),
+ o AS (SELECT *, row_number() OVER (PARTITION BY vehicle_id, seg ORDER BY ts, mine, lon, lat) AS k FROM x),
+ l AS (SELECT *, CASE WHEN lag(lon) OVER w = lon AND lag(lat) OVER w = lat THEN 0 ELSE 1 END AS own FROM o WINDOW w AS (PARTITION BY vehicle_id, seg ORDER BY k)),
+ t AS (SELECT vehicle_id, min(ts) AS start_at, max(ts) AS end_at, CAST(sum(own) AS BIGINT) AS n_vertices, arg_min(lon, k) AS flon, arg_min(lat, k) AS flat, arg_max(lon, k) AS llon, arg_max(lat, k) AS llat FROM l GROUP BY vehicle_id, seg),
+ a AS (SELECT s_suppkey || ' street 1 ' || s_name AS label, CAST(CAST(s_suppkey % 50 * 0.001 AS DECIMAL(9,3)) AS DOUBLE) AS px, CAST(0.0003 AS DOUBLE) AS py FROM supplier),
+ c AS (SELECT lon, lat, arg_min(label, (sqrt(pow(px - lon, 2) + pow(py - lat, 2)), label)) AS label FROM (SELECT flon AS lon, flat AS lat FROM t UNION SELECT llon, llat FROM t), a GROUP BY 1, 2)
+ SELECT vehicle_id, start_at, end_at, n_vertices, n_vertices > 1 AS is_line, round(flon, 6) AS first_lon, round(flat, 6) AS first_lat, round(llon, 6) AS last_lon, round(llat, 6) AS last_lat, f.label AS start_location, e.label AS end_location
+ FROM t JOIN c AS f ON f.lon = flon AND f.lat = flat JOIN c AS e ON e.lon = llon AND e.lat = llat"""
+
+
 QUERIES = {
     "q_trip_segments": (trip_segments, TRIP_SEGMENTS),
+    "q_trip_table": (trip_table, TRIP_TABLE),
     "q_engine_gating": (engine_gating, ENGINE_GATING),
     "q_late_filter": (late_filter, LATE_FILTER),
     "q_point_distance": (point_distance, POINT_DISTANCE),
