@@ -9,8 +9,7 @@ from waymill.functions.standardise import haversine
 from waymill.operators import timeseries as ts
 from waymill.operators.dedupe import current_version, first_per_key
 from waymill.plans.tables import ORDER_INTERVALS, cents, dsum, order_intervals, table
-from waymill.streaming import trips
-from waymill.streaming import stream
+from waymill.streaming import keyed, stream, trips
 
 
 def trip_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,15 +231,26 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return raw, vehicles, addresses
 
 
-def trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips of all messages: typed, joined to vehicles, gated by engine, freed of small moves, cut at gaps, connected, located."""
-    raw, vehicles, addresses = raw_messages(spark, sf_dir)
-    out = trips.next_trips(raw, vehicles, spark.createDataFrame([], trips.TRIP_SCHEMA), addresses)
+def shown_trips(out: DataFrame) -> DataFrame:
     v = trips.vertices(F.col("geometry"))
     ends = {f"{name}_{c}": F.round(F.element_at(v, k)[c], 6) for k, name in ((1, "first"), (-1, "last")) for c in ("lon", "lat")}
     return out.select("vehicle_id", "start_at", "end_at", F.size(v).cast("bigint").alias("n_vertices"), F.startswith("geometry", F.lit("LINE")).alias("is_line"), *[c.alias(n) for n, c in ends.items()], "start_location", "end_location")
 
 
+def trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of all messages: typed, joined to vehicles, gated by engine, freed of small moves, cut at gaps, connected, located."""
+    raw, vehicles, addresses = raw_messages(spark, sf_dir)
+    return shown_trips(trips.next_trips(raw, vehicles, spark.createDataFrame([], trips.TRIP_SCHEMA), addresses))
+
+
+def keyed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the state processor of the stream, run over all messages as one batch."""
+    raw, vehicles, addresses = raw_messages(spark, sf_dir)
+    none = spark.createDataFrame([], trips.TRIP_SCHEMA)
+    pieces = keyed.placed(keyed.keyed_pieces(raw, vehicles, none), trips.address_index(addresses))
+    return shown_trips(keyed.folded(none, pieces))
+
+
 TRIP_TABLE = r"""WITH m AS (SELECT CASE user_id % 2 WHEN 0 THEN 'v0' ELSE 'v1' END AS vehicle_id, ts, CASE WHEN event_type IN ('error', 'signup') THEN 'engine' ELSE 'vehicle_location' END AS kind, CASE event_type WHEN 'error' THEN 'off' WHEN 'signup' THEN 'on' END AS status,
    CAST(floor(event_id / 3) % 50 AS DOUBLE) * CAST(0.001 AS DOUBLE) AS lon, CAST(user_id % 20 AS DOUBLE) * CAST(0.00005 AS DOUBLE) AS lat FROM events WHERE user_id % 11 <> 0 AND event_id % 13 <> 0),
  g AS (SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY vehicle_id ORDER BY ts, kind, lon, lat ROWS UNBOUNDED PRECEDING) AS engine FROM m),
@@ -262,6 +272,7 @@ TRIP_TABLE = r"""WITH m AS (SELECT CASE user_id % 2 WHEN 0 THEN 'v0' ELSE 'v1' E
 QUERIES = {
     "q_trip_segments": (trip_segments, TRIP_SEGMENTS),
     "q_trip_table": (trip_table, TRIP_TABLE),
+    "q_keyed_trips": (keyed_trips, TRIP_TABLE),
     "q_engine_gating": (engine_gating, ENGINE_GATING),
     "q_late_filter": (late_filter, LATE_FILTER),
     "q_point_distance": (point_distance, POINT_DISTANCE),
