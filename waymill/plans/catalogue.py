@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymill.plans import q_clean, q_finance, q_join, q_keys, q_lookup, q_quality, q_time, q_values
+from waymill.plans import q_clean, q_curated, q_finance, q_join, q_keys, q_lookup, q_quality, q_time, q_values
 
-MODULES = (q_time, q_join, q_clean, q_quality, q_finance, q_values, q_lookup, q_keys)
+MODULES = (q_time, q_join, q_clean, q_quality, q_finance, q_values, q_lookup, q_keys, q_curated)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
