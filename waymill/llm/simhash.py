@@ -60,10 +60,15 @@ def bit_majority(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
         at += n
     if not starts:
         return out
-    digits = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
-    lanes = np.empty((len(hashes), 16), dtype=np.uint64)
-    lanes[:, 0::2], lanes[:, 1::2] = _LANES[digits & 15], _LANES[digits >> 4]
-    sums = np.add.reduceat(lanes, starts, axis=0)
+    ends, parts, i = [*starts[1:], len(hashes)], [], 0
+    while i < len(starts):  # some hashes at once, as each takes 128 bytes here
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + STEP)))
+        digits = hashes[starts[i] : ends[j - 1]].astype("<u8").view(np.uint8).reshape(-1, 8)
+        lanes = np.empty((len(digits), 16), dtype=np.uint64)
+        lanes[:, 0::2], lanes[:, 1::2] = _LANES[digits & 15], _LANES[digits >> 4]
+        parts.append(np.add.reduceat(lanes, np.array(starts[i:j]) - starts[i], axis=0))
+        i = j
+    sums = np.concatenate(parts)
     counts = ((sums[:, :, None] >> np.arange(0, 64, 16, dtype=np.uint64)) & np.uint64(0xFFFF)).reshape(-1, BITS).astype(np.int64)
     owners, first = np.unique(owner, return_index=True)
     counts = np.add.reduceat(counts, first, axis=0)
