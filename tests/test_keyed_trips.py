@@ -3,7 +3,9 @@
 import json
 import os
 import random
+import time
 
+import numpy as np
 import pytest
 from test_trips import CASES, TRIP_SCHEMA, at, engine, place, seen, trip, world  # noqa: F401
 
@@ -133,3 +135,24 @@ def test_a_batch_writes_its_events_not_the_history(spark, world, tmp_path):
     assert pieces.count() == 1 and pieces.first().extends and len(pieces.first().points) == 2
     assert size(f"{stream.table}/pieces") < 20_000 and stream.trips().count() == 301
     assert [r.end_at for r in stream.trips().where("vehicle_id = 'v1'").collect()] == [at("02:06")]
+
+
+def test_a_long_trip_is_folded_in_one_pass(spark):
+    """Of n vertices n are read, not n for each of them."""
+    n = 120_000
+    piece = spark.range(1).selectExpr("'v1' AS vehicle_id", "false AS extends", "TIMESTAMP_NTZ '2024-01-01 08:00:00' AS start_at", "TIMESTAMP_NTZ '2024-01-01 09:00:00' AS end_at", f"transform(sequence(0, {n - 1}), i -> named_struct('lon', double(i div 2 % 90), 'lat', double(0))) AS points", "'a' AS start_location", "'b' AS end_location")
+    began = time.time()
+    got = keyed.folded(spark.createDataFrame([], TRIP_SCHEMA), piece).first()
+    assert time.time() - began < 60
+    assert got.geometry.count(",") == n // 2 - 1 and got.geometry.startswith("LINESTRING(0 0,1 0,2 0")
+
+
+def test_a_vehicle_s_events_are_taken_in_columns():
+    rng, n = np.random.default_rng(2), 1_000_000
+    at, place = rng.integers(0, 10**12, n), rng.random(n) < 0.9
+    engine = np.where(place, -1, rng.integers(0, 2, n)).astype("int8")
+    lon, lat = np.where(rng.random(n) < 0.01, np.nan, rng.integers(0, 50, n) * 0.001), rng.integers(0, 20, n) * 0.00005
+    began = time.time()
+    last, pieces = keyed.advance(None, *keyed.driven(at, place, engine, lon, lat))
+    assert time.time() - began < 5 and last.end_at == pieces[-1].end_at
+    assert all(((p.lons[1:] != p.lons[:-1]) | (p.lats[1:] != p.lats[:-1])).all() for p in pieces)

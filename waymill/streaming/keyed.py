@@ -11,11 +11,11 @@ together: a batch that runs again after a failure starts from the states before
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
 from typing import Any, NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from waymill.streaming.trips import GAP, NOISE_METRES, TRIP, TRIP_SCHEMA, addres
 
 GAP_MICROS, RADIUS = int(GAP.split()[0]) * 60_000_000, 6_371_008.8
 STATE = "start_at bigint, end_at bigint, first_lon double, first_lat double, lon double, lat double"
+#: What the state processor takes of an event.
+EVENT = {"at": "int64", "place": "bool", "engine": "int8", "lon": "float64", "lat": "float64"}
 FOUND = "vehicle_id string, extends boolean, start_at bigint, end_at bigint, lons array<double>, lats array<double>, first_lon double, first_lat double, last_lon double, last_lat double"
 PIECE = "vehicle_id string, extends boolean, start_at timestamp_ntz, end_at timestamp_ntz, points array<struct<lon:double,lat:double>>, start_location string, end_location string"
 
@@ -45,73 +47,77 @@ class Last(NamedTuple):
 
 
 class Piece(NamedTuple):
-    """What a batch adds: to the last trip, or a new one. ``points`` are those to be added."""
+    """What a batch adds: to the last trip, or a new one. ``lons`` and ``lats`` are of the points to be added."""
 
     extends: bool
     start_at: int
     end_at: int
-    points: list[tuple[float, float]]
+    lons: np.ndarray
+    lats: np.ndarray
     first: tuple[float, float]
     last: tuple[float, float]
 
 
-def metres(a: tuple[float, float], b: tuple[float, float]) -> float:
-    lon1, lat1, lon2, lat2 = map(math.radians, (*a, *b))
-    half = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
-    return 2 * RADIUS * math.asin(math.sqrt(min(half, 1.0)))
+def metres(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
+    """From each point to the next."""
+    x, y = np.radians(lon), np.radians(lat)
+    half = np.sin(np.diff(y) / 2) ** 2 + np.cos(y[:-1]) * np.cos(y[1:]) * np.sin(np.diff(x) / 2) ** 2
+    return 2 * RADIUS * np.arcsin(np.sqrt(np.minimum(half, 1.0)))
 
 
 def stored(x: float) -> float:
     """A coordinate as the text of a geometry keeps it."""
-    return float(Decimal(repr(x)).quantize(Decimal("1e-7"), ROUND_HALF_UP))
+    return float(Decimal(repr(float(x))).quantize(Decimal("1e-7"), ROUND_HALF_UP))
 
 
-def driven(events: list[tuple]) -> list[tuple[int, tuple[float, float]]]:
-    """(time, place) of the points while the last known engine status is on or unknown; an engine event comes first at its time.
+def driven(at: np.ndarray, place: np.ndarray, engine: np.ndarray, lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Times and places while the last known engine status is on or unknown; an engine event comes first at its time.
 
-    events: time, capability, lon, lat, status.
+    place: whether an event is of a place; engine: 1 on, 0 off, -1 none told; unknown coordinates are NaN.
     """
-    engine, out = None, []
-    first = lambda x: (x is not None, x or 0.0)
-    for at, kind, lon, lat, status in sorted(events, key=lambda e: (e[0], e[1], first(e[2]), first(e[3]))):
-        engine = status if status is not None else engine
-        if kind == "vehicle_location" and engine in (None, "on") and lon is not None and lat is not None:
-            out.append((at, (lon, lat)))
-    return out
+    known = lambda x: [np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf), ~np.isnan(x)]
+    order = np.lexsort([*known(lat), *known(lon), place, at])
+    at, place, engine, lon, lat = (x[order] for x in (at, place, engine, lon, lat))
+    told = np.maximum.accumulate(np.where(engine >= 0, np.arange(len(at)), -1))
+    on = (told < 0) | (engine[told] == 1)
+    kept = place & on & ~np.isnan(lon) & ~np.isnan(lat)
+    return at[kept], lon[kept], lat[kept]
 
 
-def advance(last: Last | None, points: list[tuple[int, tuple[float, float]]], gap: int = GAP_MICROS, noise: float = NOISE_METRES) -> tuple[Last | None, list[Piece]]:
+def advance(last: Last | None, at: np.ndarray, lon: np.ndarray, lat: np.ndarray, gap: int = GAP_MICROS, noise: float = NOISE_METRES) -> tuple[Last | None, list[Piece]]:
     """The state after some points of a vehicle, and the pieces that they add.
 
     Points not after the last trip's end are late and go. That trip's end goes along, so gaps and small moves are judged
-    against it; a later piece begins with the raw point before it.
+    against it; a later piece begins with the raw point before it. All points are taken in whole columns.
     """
-    rows = sorted({p for p in points if last is None or p[0] > last.end_at})
     if last is not None:
-        rows.insert(0, (last.end_at, (last.lon, last.lat)))
-    groups: list[list[int]] = []
-    before: int | None = None  # the row kept last
-    for k, (at, place) in enumerate(rows):
-        if k and metres(rows[k - 1][1], place) <= noise:
-            continue
-        if before is None or at > rows[before][0] + gap:
-            groups.append([])
-        groups[-1].append(k)
-        before = k
+        new = at > last.end_at
+        at, lon, lat = at[new], lon[new], lat[new]
+    order = np.lexsort([lat, lon, at])
+    at, lon, lat = at[order], lon[order], lat[order]
+    differs = lambda *cs: np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cs])])[: len(cs[0])]
+    once = differs(at, lon, lat)
+    at, lon, lat = at[once], lon[once], lat[once]
+    if last is not None:
+        at, lon, lat = np.insert(at, 0, last.end_at), np.insert(lon, 0, last.lon), np.insert(lat, 0, last.lat)
+    if not len(at):
+        return last, []
+    kept = np.flatnonzero(np.concatenate([[True], ~(metres(lon, lat) <= noise)]))
+    groups = np.split(kept, np.flatnonzero(np.diff(at[kept]) > gap) + 1)
     pieces = []
     for n, group in enumerate(groups):
         extends = last is not None and n == 0
         if extends and len(group) == 1:
             continue
-        line = [rows[k][1] for k in group]
-        if n and group[0]:
-            line.insert(0, rows[group[0] - 1][1])
-        own = [p for k, p in enumerate(line) if not k or p != line[k - 1]]
-        end = rows[group[-1]][0]
+        line = np.insert(group, 0, group[0] - 1) if n else group
+        xs, ys = lon[line], lat[line]
+        own = differs(xs, ys)
+        xs, ys, end = xs[own], ys[own], int(at[group[-1]])
+        ends = (float(xs[0]), float(ys[0])), (float(xs[-1]), float(ys[-1]))
         if extends:
-            pieces.append(Piece(True, last.start_at, end, own[1:], (last.first_lon, last.first_lat), own[-1]))
+            pieces.append(Piece(True, last.start_at, end, xs[1:], ys[1:], (last.first_lon, last.first_lat), ends[1]))
         else:
-            pieces.append(Piece(False, rows[group[0]][0], end, own, own[0], own[-1]))
+            pieces.append(Piece(False, int(at[group[0]]), end, xs, ys, *ends))
     if pieces:
         p = pieces[-1]
         last = Last(p.start_at, p.end_at, *map(stored, p.first), *map(stored, p.last))
@@ -132,13 +138,12 @@ class TripProcessor(StatefulProcessor):
         self.last.update((int(r.start_at), int(r.end_at), float(r.first_lon), float(r.first_lat), float(r.lon), float(r.lat)))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        known = lambda x: None if pd.isna(x) else x
-        events = [(int(r.at), r.capability, known(r.lon), known(r.lat), known(r.status)) for batch in rows for r in batch.itertuples()]
+        parts = [[batch[c].to_numpy(t) for c, t in EVENT.items()] for batch in rows]
         before = Last(*self.last.get()) if self.last.exists() else None
-        after, pieces = advance(before, driven(events))
+        after, pieces = advance(before, *driven(*[np.concatenate(x) for x in zip(*parts)]))
         if pieces:
             self.last.update(tuple(after))
-            out = [(key[0], p.extends, p.start_at, p.end_at, [x for x, _ in p.points], [y for _, y in p.points], *p.first, *p.last) for p in pieces]
+            out = [(key[0], p.extends, p.start_at, p.end_at, p.lons, p.lats, *p.first, *p.last) for p in pieces]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     def close(self) -> None:
@@ -157,7 +162,8 @@ def wall_time(c: str) -> Column:
 def keyed_pieces(raw: DataFrame, vehicles: DataFrame, start: DataFrame, keep_ms: int | None = None) -> DataFrame:
     """The pieces (``FOUND``) that a stream of raw events adds to the trips of ``start``."""
     known = typed_events(raw).join(vehicles.select(F.col("id").alias("vehicle_id"), "vin"), "vin")
-    events = known.select("vehicle_id", time_micros("ts").alias("at"), "capability", "lon", "lat", "status")
+    engine = F.when(F.col("status").isNull(), -1).otherwise((F.col("status") == "on").cast("int")).cast("byte")
+    events = known.select("vehicle_id", time_micros("ts").alias("at"), (F.col("capability") == "vehicle_location").alias("place"), engine.alias("engine"), "lon", "lat")
     ends = last_trips(start).withColumn("v", vertices(F.col("geometry")))
     place = lambda k, name: [F.element_at("v", k)["lon"].alias(f"{name}lon"), F.element_at("v", k)["lat"].alias(f"{name}lat")]
     first = ends.select("vehicle_id", time_micros("start_at").alias("start_at"), time_micros("end_at").alias("end_at"), *place(1, "first_"), *place(-1, ""))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import coordinates, wall_clock
-from waymill.operators.common import materialised
+from waymill.operators.common import bound, materialised
 from waymill.operators.dedupe import first_per_key
 from waymill.operators.expect import has_only_key
 from waymill.operators.spatial import PlaceIndex, nearest_in, place_index
@@ -59,7 +59,7 @@ def geometry_text(points: Column) -> Column:
 
 def without_repeats(points: Column) -> Column:
     """Vertices that differ from the one before."""
-    return F.filter(points, lambda p, i: (i == 0) | (p != F.element_at(points, F.greatest(i, F.lit(1)))))
+    return bound(points, lambda own: F.filter(own, lambda p, i: (i == 0) | (p != F.element_at(own, F.greatest(i, F.lit(1))))))
 
 
 def last_trips(trips: DataFrame) -> DataFrame:
