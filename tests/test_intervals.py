@@ -71,3 +71,18 @@ def test_a_key_of_many_versions_takes_time_near_linear(spark):
 
     took(1_000)
     assert took(100_000) < 60  # all pairs would be 10 billion
+
+
+def test_rows_meet_their_key_once_and_are_not_ranked(spark):
+    """No window over what covers a row: rows move to their key, and nowhere else."""
+    facts, versions = (spark.createDataFrame(x, s) for x, s in zip(world(3, True), (FACTS, VERSIONS)))
+    out = joins.best_interval(facts, versions, "k", "at", "s", "e", [("w", False)], ["w"], fallback=[("w", True)], most=10**9)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 1
+
+
+def test_nan_is_the_greatest_for_the_index_too(spark):
+    left = spark.sql("SELECT 'a' AS k, DATE'2020-01-02' AS at")
+    right = spark.sql("SELECT 'a' AS k, DATE'2020-01-01' AS s, DATE'2020-01-05' AS e, double(v) AS w, v FROM VALUES ('1'), ('NaN'), ('3') AS t(v)")
+    for most in (10, 1):
+        assert joins.best_interval(left, right, "k", "at", "s", "e", [("w", True)], ["w", "v"], most=most).first().v == "NaN"

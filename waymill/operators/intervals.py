@@ -42,12 +42,17 @@ def sort_key(df: DataFrame, order: list[tuple[str, bool]]) -> list[Column]:
     kinds, out = dict(df.dtypes), []
     for n, (c, down) in enumerate(order):
         own = F.col(c)
-        if kinds[c].startswith(("date", "timestamp")):
+        if kinds[c] == "timestamp":
+            own = F.unix_micros(own)
+        elif kinds[c].startswith(("date", "timestamp")):
             own = micros(own)
         elif kinds[c] == "boolean":
             own = own.cast("int")
         null = F.col(c).isNotNull() if down else F.col(c).isNull()
-        out += [null.alias(f"n{n}"), (-own if down else own).alias(f"o{n}")]
+        out.append(null.alias(f"n{n}"))
+        if down and kinds[c] in ("double", "float"):  # the greatest, but its opposite is itself
+            out.append((~F.isnan(own)).alias(f"r{n}"))
+        out.append((-own if down else own).alias(f"o{n}"))
     return out
 
 
@@ -61,18 +66,17 @@ def blocks(low: str, high: str, levels: int) -> Column:
     return F.expr(f"flatten(transform(sequence(0, {levels - 1}), l -> transform({own}, i -> struct(l AS level, i AS block))))")
 
 
-def best_indexed(left: DataFrame, right: DataFrame, key: str, at: str, k: str, s: str, e: str, order: list[tuple[str, bool]], values: list[str], closed: bool) -> DataFrame:
-    """Left rows with the values of the first interval of their key, by an order, that covers ``at``, and matched: as ``joins.best_interval``.
+def best_at(points: DataFrame, right: DataFrame, k: str, c: str, s: str, e: str, order: list[tuple[str, bool]], values: list[str], closed: bool, best: str, own: str) -> DataFrame:
+    """k, c and best, whose field ``own`` has the values of the first interval of the key, by an order, that covers the time c; only where there is one.
 
-    right: columns k, s, e (a null end is open) and the values.
+    points: columns k and c (``micros``), each pair once. right: columns k, s, e (a null end is open) and the values. The
+    right rows are read twice, so they should come from a table.
     """
-    row, c, low, high, level, block, best = fresh([*left.columns, *values], "row", "at", "low", "high", "level", "block", "best")
-    own = materialised(left.withColumn(row, F.monotonically_increasing_id()))
-    spans = materialised(right.where(F.col(s).isNotNull()).select(F.struct(*sort_key(right, order), *values).alias(best), F.col(k), micros(F.col(s)).alias(low), micros(F.col(e)).alias(high)))
-    facts = own.where(F.col(at).isNotNull()).select(row, F.col(key).alias(k), micros(F.col(at)).alias(c))
-    of = [F.expr(f"bool_and(coalesce({x} % {u} = 0, true))").alias(f"u{n}") for n, u in enumerate(UNITS) for x in ("x",)]
+    low, high, level, block = fresh([*points.columns, *right.columns, best], "low", "high", "level", "block")
+    spans = right.where(F.col(s).isNotNull()).select(F.struct(F.struct(*sort_key(right, order)).alias("sort"), F.struct(*values).alias(own)).alias(best), F.col(k), micros(F.col(s)).alias(low), micros(F.col(e)).alias(high))
+    of = [F.expr(f"bool_and(coalesce(x % {u} = 0, true))").alias(f"u{n}") for n, u in enumerate(UNITS)]
     bounds = [F.min("x").alias("least"), F.max("x").alias("most")]
-    seen = [df.agg(*of, *bounds).first() for df in (facts.select(F.col(c).alias("x")), spans.select(F.explode(F.array(low, high)).alias("x")))]
+    seen = [df.agg(*of, *bounds).first() for df in (points.select(F.col(c).alias("x")), spans.select(F.explode(F.array(low, high)).alias("x")))]
     unit = next(u for n, u in enumerate(UNITS) if all(r[f"u{n}"] is not False for r in seen))
     least = min((r.least for r in seen if r.least is not None), default=0)
     most = max((r.most for r in seen if r.most is not None), default=0)
@@ -85,7 +89,5 @@ def best_indexed(left: DataFrame, right: DataFrame, key: str, at: str, k: str, s
     nodes = cut.select(k, best, F.explode(blocks(low, high, levels)).alias("node")).groupBy(k, F.col("node.level").alias(level), F.col("node.block").alias(block)).agg(F.min(best).alias(best))
     nodes = materialised(nodes)
     used = [r[0] for r in nodes.select(level).distinct().collect()]
-    asked = facts.withColumn(c, place(c)).withColumn(level, F.explode(F.array(*[F.lit(n) for n in sorted(used)]).cast("array<int>")))
-    met = asked.withColumn(block, F.expr(f"shiftright({c}, 2 * {level})")).join(nodes, [k, level, block]).groupBy(row).agg(F.min(best).alias(best))
-    out = own.join(met, row, "left")
-    return out.select(*[F.col(x) for x in left.columns], *[F.col(f"{best}.{v}").alias(v) for v in values], F.col(best).isNotNull().alias("matched"))
+    asked = points.withColumn(level, F.explode(F.array(*[F.lit(n) for n in sorted(used)]).cast("array<int>")))
+    return asked.withColumn(block, F.expr(f"shiftright(({c} - {least}L) div {unit}L, 2 * {level})")).join(nodes, [k, level, block]).groupBy(k, c).agg(F.min(best).alias(best))

@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.operators import intervals
-from waymill.operators.common import distinct_key, fresh, materialised
+from waymill.operators.common import distinct_key, fresh, materialised, sent_whole
 
 #: Versions of a key up to which its rows meet all of them.
 MOST_VERSIONS = 64
+#: Answers of the index that are sent whole.
+MOST_SENT = 100_000
 
 
 def covers(at: Column, start: Column, end: Column, closed: bool = True) -> Column:
@@ -35,30 +37,61 @@ def best_interval(left: DataFrame, right: DataFrame, key: str, at: str, start: s
     their key's first interval by that order, its values kept or, with ``mask_fallback``, set to null. A matched column
     says which it was. Rows whose key has no interval keep nulls.
 
-    Rows meet the intervals of their key directly while these are ``most`` or fewer. Keys with more have an index
-    (``intervals``), so a row meets some twenty nodes of it however many versions there are.
+    A key's intervals travel as one sorted array to its rows while these are ``most`` or fewer; so rows move once, and
+    what covers them is found in place. Keys with more have an index (``intervals``) that is asked once for each different
+    time of a key; for these, left and right rows are read twice and must come the same. Orders that structs can't have
+    (texts that descend) and values without order are ranked by a window.
     """
-    k, s, e, row, place, usual, rank = fresh([*left.columns, *values, *right.columns], "key", "start", "end", "row", "rank", "usual", "first")
+    k, s, e, row, place, usual, rank, own, best, c = fresh([*left.columns, *values, *right.columns], "key", "start", "end", "row", "rank", "usual", "first", "own", "best", "micros")
     named = {"__start": s, "__end": e}
-    order, fallback = ([(named.get(c, c), d) for c, d in o] if o is not None else None for o in (order, fallback))
+    order, fallback = ([(named.get(x, x), d) for x, d in o] if o is not None else None for o in (order, None if mask_fallback else fallback))
     r = right.select(F.col(key).alias(k), F.col(start).alias(s), F.col(end).alias(e), *[F.col(v) for v in values])
-    tie = [(c, False) for c in (s, e, *values) if c not in dict(order) and intervals.orderable(r, c)]
+    tie = [(x, False) for x in (s, e, *values) if x not in dict(order) and intervals.orderable(r, x)]
+    if not intervals.sortable(r, [*order, *tie, *(fallback or [])]) or not all(intervals.orderable(r, x) for x in (*values, *dict(order))):
+        return _ranked(left, r, key, at, (k, s, e, row, place, usual, rank), [*order, *tie], values, closed, fallback)
+
+    kept = r.where(F.col(k).isNotNull())
+    counts = kept.groupBy(k).count()
+    many = materialised(counts.where(F.col("count") > most).select(k))
+    indexed = not many.isEmpty()
+    met, found = left, []
+    if indexed:
+        many = sent_whole(many)
+        points = left.where(F.col(at).isNotNull()).select(F.col(key).alias(k), intervals.micros(F.col(at)).alias(c)).join(many, k, "left_semi").distinct()
+        hits = materialised(intervals.best_at(materialised(points), kept.join(many, k, "left_semi"), k, c, s, e, [*order, *tie], values, closed, best, own))
+        hits = sent_whole(hits.withColumnRenamed(k, row), MOST_SENT)
+        met = met.join(hits, (left[key] == hits[row]) & (intervals.micros(left[at]) == hits[c]), "left").drop(row, c)
+        found.append(F.col(best)[own])
+    if not indexed or not counts.where(F.col("count") <= most).isEmpty():
+        few = kept.join(many, k, "left_anti") if indexed else kept
+        ordered = F.array_sort(F.collect_list(F.struct(F.struct(*intervals.sort_key(r, [*order, *tie])).alias("sort"), s, e, F.struct(*values).alias(own))))
+        held = F.transform(ordered, lambda v: F.struct(v[s].alias(s), v[e].alias(e), v[own].alias(own)))
+        lists = few.groupBy(k).agg(held.alias(place), *_first(r, fallback, values, own, usual))
+        met = met.join(lists, met[key] == lists[k], "left").drop(k)
+        found.append(F.get(F.filter(place, lambda v: covers(F.col(at), v[s], v[e], closed)), F.lit(0))[own])
+    if fallback is not None and indexed:
+        firsts = kept.join(many, k, "left_semi").groupBy(k).agg(*_first(r, fallback, values, own, rank))
+        met = met.join(firsts, met[key] == firsts[k], "left").drop(k)
+    met = met.select(*[F.col(x) for x in left.columns], F.coalesce(*found).alias(best), *[F.col(x) for x in (usual, rank) if x in met.columns])
+    firsts = [F.col(x)[own] for x in (usual, rank) if x in met.columns]
+    shown = lambda v: F.when(F.col(best).isNotNull(), F.col(best)[v]).otherwise(F.coalesce(*[x[v] for x in firsts]) if firsts else F.lit(None))
+    return met.select(*[F.col(x) for x in left.columns], *[shown(v).alias(v) for v in values], F.col(best).isNotNull().alias("matched"))
+
+
+def _first(r: DataFrame, fallback: list[tuple[str, bool]] | None, values: list[str], own: str, name: str) -> list[Column]:
+    """A key's first interval by the fallback order, if there is one; of equals the least values."""
+    return [] if fallback is None else [F.min(F.struct(F.struct(*intervals.sort_key(r, fallback)).alias("sort"), F.struct(*values).alias(own))).alias(name)]
+
+
+def _ranked(left: DataFrame, r: DataFrame, key: str, at: str, names: tuple[str, ...], order: list[tuple[str, bool]], values: list[str], closed: bool, fallback: list[tuple[str, bool]] | None) -> DataFrame:
+    """``best_interval`` by a join and a window."""
+    k, s, e, row, place, usual, rank = names
     sort = lambda c, down: c.desc_nulls_first() if down else c.asc_nulls_last()
-
-    def plain(own: DataFrame) -> DataFrame:
-        own = own.withColumn(row, distinct_key(own))
-        met = own.join(r, (own[key] == r[k]) & covers(F.col(at), F.col(s), F.col(e), closed), "left")
-        first = F.row_number().over(Window.partitionBy(row).orderBy(*[sort(F.col(c), d) for c, d in [*order, *tie]]))
-        return met.withColumn(place, first).where(F.col(place) == 1).withColumn("matched", F.col(k).isNotNull()).drop(place, row, k, s, e)
-
-    many = materialised(r.where(F.col(k).isNotNull()).groupBy(k).count().where(F.col("count") > most).select(k))
-    if many.isEmpty() or not intervals.sortable(r, [*order, *tie]):
-        out = plain(left)
-    else:
-        index = r.join(many, k, "left_semi")
-        own = left.join(many, left[key] == many[k], "left_semi")
-        out = plain(left.join(many, left[key] == many[k], "left_anti")).unionByName(intervals.best_indexed(own, index, key, at, k, s, e, [*order, *tie], values, closed))
-    if fallback is None or mask_fallback:
+    own = left.withColumn(row, distinct_key(left))
+    met = own.join(r, (own[key] == r[k]) & covers(F.col(at), F.col(s), F.col(e), closed), "left")
+    first = F.row_number().over(Window.partitionBy(row).orderBy(*[sort(F.col(c), d) for c, d in order]))
+    out = met.withColumn(place, first).where(F.col(place) == 1).withColumn("matched", F.col(k).isNotNull()).drop(place, row, k, s, e)
+    if fallback is None:
         return out
     by = F.row_number().over(Window.partitionBy(k).orderBy(*[sort(F.col(c), d) for c, d in fallback]))
     held = {v: f"{usual}_{n}" for n, v in enumerate(values)}
