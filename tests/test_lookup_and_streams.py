@@ -69,3 +69,12 @@ def test_repeats_within_the_delay_are_dropped(spark, sf_dir, tmp_path):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     out = streamed(spark, events.unionByName(events), str(tmp_path / "in"), lambda s: stream.distinct_events(s, ["event_id", "event_type"], "ts", "1 hour"))
     assert out.where("event_type <> 'end'").count() == events.count()
+
+
+def test_few_keys_are_sent_whole_to_texts_that_share_a_first_word(spark):
+    """Every text has the word, so a join by it would bring all texts into one task."""
+    texts = spark.range(50).selectExpr("id", "concat('brand ', id % 7) AS text")
+    keys = spark.range(7).selectExpr("concat('brand ', id) AS key", "id AS value")
+    out = lookup.found_in_text(texts, "text", "id", keys, "key", "value", "found")
+    assert "strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.found == r.id % 7 for r in out.collect())

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.functions.standardise import folded_name_key, is_missing, without_accents
-from waymill.operators.common import fresh
+from waymill.operators.common import fresh, sent_whole
 
 
 def folded(c: Column) -> Column:
@@ -54,13 +54,14 @@ def country_codes(df: DataFrame, column: str, countries: DataFrame, strict: bool
 def found_in_text(df: DataFrame, column: str, id_col: str, keys: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Adds the value of the longest key whose words stand in the text, ties to the smaller key; null if none does.
 
-    Texts and keys meet by a key's first word, so a large key table costs no more than the words of the texts.
+    Texts and keys meet by a key's first word, so a large key table costs no more than the words of the texts. Few keys
+    are sent whole: a first word that all texts have then brings them into no single task.
     """
     k = keys.select(folded(F.col(key)).alias("__key"), F.col(value).alias("__value")).distinct()
     k = k.withColumn("__word", F.element_at(F.split("__key", " "), 1))
     words = df.select(id_col, F.concat(F.lit(" "), F.regexp_replace(folded(F.col(column)), "[^a-z0-9]+", " "), F.lit(" ")).alias("__text"))
     each = words.withColumn("__word", F.explode(F.array_distinct(F.split(F.trim("__text"), " "))))
-    met = each.join(k, "__word").where(F.contains("__text", F.concat(F.lit(" "), F.col("__key"), F.lit(" "))))
+    met = each.join(sent_whole(k), "__word").where(F.contains("__text", F.concat(F.lit(" "), F.col("__key"), F.lit(" "))))
     best = met.groupBy(id_col).agg(F.min_by("__value", F.struct(-F.length("__key"), "__key")).alias(name))
     return df.join(best, id_col, "left")
 
