@@ -63,35 +63,39 @@ def permuted(c: Column, seed: int) -> Column:
     alphabet, by a hash of the other half, the shape, the round and its place. Shifts can be taken back, so the whole is a
     permutation of all texts of a shape, capital letters for all.
     """
-    chars = F.filter(F.split(F.upper(c), ""), lambda x: x.rlike("^[A-Z0-9]$"))
-    shape = shape_of(c)
+    own = F.regexp_replace(c, "[^A-Za-z0-9]", "")
 
-    def shifted(part: Column, other: Column, k: int) -> Column:
-        def one(ch: Column, i: Column) -> Column:
-            h = F.xxhash64(F.lit(seed), shape, F.lit(k), i, F.array_join(other, ""))
+    def shifted(part: Column, other: Column, shape: Column, k: int) -> Column:
+        def one(ch: Column, i: Column, joined: Column) -> Column:
+            h = F.xxhash64(F.lit(seed), shape, F.lit(k), i, joined)
             at = lambda alphabet: F.substring(F.lit(alphabet), (F.pmod(F.instr(F.lit(alphabet), ch) - 1 + F.pmod(h, F.lit(len(alphabet))), F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
             return F.when(ch.between("0", "9"), at(DIGITS)).otherwise(at(LETTERS))
 
-        return F.transform(part, one)
+        return bound(F.array_join(other, ""), lambda joined: F.transform(part, lambda ch, i: one(ch, i, joined)))
 
-    def turn(k: int) -> Callable[[Column], Column]:
+    def turn(shape: Column, k: int) -> Callable[[Column], Column]:
         if k % 2:
-            return lambda s: F.struct(s["a"].alias("a"), shifted(s["b"], s["a"], k).alias("b"))
-        return lambda s: F.struct(shifted(s["a"], s["b"], k).alias("a"), s["b"].alias("b"))
+            return lambda s: F.struct(s["a"].alias("a"), shifted(s["b"], s["a"], shape, k).alias("b"))
+        return lambda s: F.struct(shifted(s["a"], s["b"], shape, k).alias("a"), s["b"].alias("b"))
 
-    def walked(x: Column) -> Column:
+    def walked(x: Column, shape: Column) -> Column:
         size = F.ceil(F.size(x) / 2).cast("int")
         state = F.struct(F.slice(x, F.lit(1), size).alias("a"), F.slice(x, size + 1, F.size(x)).alias("b"))
         for k in range(ROUNDS):
-            state = bound(state, turn(k))
+            state = bound(state, turn(shape, k))
         return bound(state, lambda s: F.concat(s["a"], s["b"]))
 
     def written(new: Column) -> Column:
-        every = F.split(c, "")
-        place = lambda i: F.size(F.filter(F.slice(every, F.lit(1), i + 1), lambda x: x.rlike("^[A-Za-z0-9]$")))
-        return F.array_join(F.transform(every, lambda x, i: F.when(x.rlike("^[A-Za-z0-9]$"), F.element_at(new, place(i))).otherwise(x)), "")
+        """The new letters and digits in the places of the old ones, in one pass."""
+        changes = lambda x: x.between("0", "9") | x.between("A", "Z") | x.between("a", "z")
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
-    return F.when(F.size(chars) > 0, bound(walked(chars), written))
+        def add(s: Column, x: Column) -> Column:
+            return F.struct((s["at"] + changes(x).cast("int")).alias("at"), F.concat(s["out"], F.when(changes(x), F.get(new, s["at"] - 1)).otherwise(x)).alias("out"))
+
+        return F.aggregate(F.split(c, ""), start, add, lambda s: s["out"])
+
+    return F.when(own != "", bound(shape_of(c), lambda shape: bound(walked(F.split(F.upper(own), ""), shape), written)))
 
 
 def texts_of(spark: SparkSession, shape: str, name: str) -> DataFrame:
