@@ -7,13 +7,11 @@ results are stable.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.operators import intervals
+from waymill.operators.alike import similar_names  # noqa: F401
 from waymill.operators.common import distinct_key, fresh, materialised, sent_whole
 
 #: Versions of a key up to which its rows meet all of them.
@@ -177,73 +175,6 @@ def routed(items: DataFrame, rules: DataFrame, name: str, pattern: str, target:
     return joined.select(*[items[c] for c in items.columns], "rule", "target", F.coalesce(n_rules, F.lit(0)).alias("n_rules"))
 
 
-def most_edits(length: int, threshold: float) -> int:
-    """The most edits that keep a token's score over the threshold, the longer of both tokens having this length; -1 if none do."""
-    k = length
-    while k >= 0 and 100 * (1 - k / max(length, 1)) <= threshold - 1e-6:
-        k -= 1
-    return k
-
-
-def segments(length: int, count: int) -> list[tuple[int, int]]:
-    """Start and size of the parts of a token; some are empty where it is shorter than their count."""
-    cuts = [length * i // count for i in range(count + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
-
-
-def similar_tokens(tokens: DataFrame, threshold: float) -> DataFrame:
-    """s, t (both ways round, and each with itself): all pairs of the distinct tokens (column t) with a score over the threshold.
-
-    Of two tokens at most k edits apart, one of k + 1 parts of the shorter one stands in the longer one, moved
-    by k places at most; k follows from the longer one's length. So they meet by lengths, part and letters.
-    """
-    lengths = sorted(r[0] for r in tokens.select(F.length("t")).distinct().collect())
-    longer_of = {n: [(m, k) for m in lengths if m >= n and (k := most_edits(m, threshold)) >= m - n] for n in lengths}
-
-    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [(t, m, len(t), i, t[at : at + size]) for t in batch["t"] for m, k in longer_of[len(t)] for i, (at, size) in enumerate(segments(len(t), k + 1))]
-            yield pd.DataFrame(out, columns=["s", "longer", "shorter", "part", "letters"])
-
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = set()
-            for t in batch["t"]:
-                k = most_edits(len(t), threshold)
-                for n in (n for n in lengths if len(t) - k <= n <= len(t)):
-                    for i, (at, size) in enumerate(segments(n, k + 1)):
-                        out |= {(t, len(t), n, i, t[x : x + size]) for x in range(max(0, at - k), min(at + k, len(t) - size) + 1)}
-            yield pd.DataFrame(list(out), columns=["t", "longer", "shorter", "part", "letters"])
-
-    key = "longer int, shorter int, part int, letters string"
-    short, long = tokens.mapInPandas(parts, f"s string, {key}"), tokens.mapInPandas(places, f"t string, {key}")
-    met = short.join(long, ["longer", "shorter", "part", "letters"]).select("s", "t").distinct()
-    near = met.where(100 * (1 - F.levenshtein("s", "t") / F.greatest(F.length("s"), F.length("t"), F.lit(1))) > threshold - 1e-6)
-    return near.unionByName(near.select(F.col("t").alias("s"), F.col("s").alias("t"))).distinct()
-
-
-def similar_names(people: DataFrame, id_col: str, name_col: str, threshold: float = 80.0) -> DataFrame:
-    """id_a < id_b, score: pairs of names alike by tokens.
-
-    A token's score is 100 times one minus edit distance over the longer length, to the other name's best
-    token; a pair's is the mean over the tokens of the name with fewer (of equals, the first one's). A mean over the
-    threshold has a token over it, so names meet by the pairs of tokens that are, and no pair is lost. Names with
-    the same tokens are compared as one; a token that many names have still lets all of these meet.
-    """
-    own = people.select(F.col(id_col).alias("id"), F.array_distinct(F.split(F.trim(F.lower(name_col)), r"\s+")).alias("tokens")).where("tokens IS NOT NULL")
-    own = materialised(own)
-    held = materialised(own.select("tokens").distinct().select("tokens", F.explode("tokens").alias("t")))
-    near = materialised(similar_tokens(held.select("t").distinct(), threshold))
-    a, b = (held.select(F.col("tokens").alias(f"tokens_{x}"), F.col("t").alias(y)) for x, y in ("as", "bt"))
-    pairs = a.join(near, "s").join(b, "t").select("tokens_a", "tokens_b").distinct()
-    ratio = lambda s, t: 100 * (1 - F.levenshtein(s, t) / F.greatest(F.length(s), F.length(t), F.lit(1)))
-    mean = lambda u, v: F.aggregate(F.transform(u, lambda s: F.array_max(F.transform(v, lambda t: ratio(s, t)))), F.lit(0.0), lambda x, y: x + y) / F.size(u)
-    score = F.when(F.size("tokens_a") <= F.size("tokens_b"), mean(F.col("tokens_a"), F.col("tokens_b"))).otherwise(mean(F.col("tokens_b"), F.col("tokens_a")))
-    alike = pairs.select("tokens_a", "tokens_b", F.round(score, 6).alias("score")).where(F.col("score") > threshold)
-    first, second = (own.select(F.col("id").alias(f"id_{x}"), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
-    return alike.join(first, "tokens_a").join(second, "tokens_b").where("id_a < id_b").select("id_a", "id_b", "score")
-
-
 def valid_at(params: DataFrame, at: Column, start: str = "date_from", end: str = "date_to") -> DataFrame:
     """Parameters valid at a time; null bounds are open."""
     return params.where((F.col(start).isNull() | (F.col(start) <= at)) & (F.col(end).isNull() | (F.col(end) >= at)))
