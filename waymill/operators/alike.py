@@ -86,7 +86,7 @@ def crowded(tokens: DataFrame, edits: dict[tuple[int, int], int], sizes: dict[in
 
 
 def in_blocks(tokens: DataFrame, edits: dict[tuple[int, int], int]) -> DataFrame:
-    """x, y (rows of tokens, the number of x not over that of y), k: pairs at most k edits apart by their lengths.
+    """x, y (rows of tokens), edits: pairs, each once, at most as many edits apart as their lengths allow.
 
     Beginnings of equal length of two tokens at most k edits apart are themselves at most k edits apart, and the
     difference of lengths more: what moves places before the cut moves back after it, or is that difference.
@@ -113,15 +113,20 @@ def in_blocks(tokens: DataFrame, edits: dict[tuple[int, int], int]) -> DataFrame
     rules = F.broadcast(spark.createDataFrame(both, "n_x int, n_y int, k int").withColumn("slack", F.expr("k + abs(n_x - n_y)")))
     a, b = (heads.select(*[F.col(c).alias(f"{c}_{x}") for c in heads.columns]) for x in "xy")
     close = lambda p, q: F.expr(f"levenshtein(left({p}, length({q})), left({q}, length({p})), slack) >= 0")
-    pairs = a.join(rules, "n_x").join(b, "n_y").where((F.col("number_x") <= F.col("number_y")) & (F.col("wanted_x") | F.col("wanted_y")) & close("begin_x", "begin_y")).select("number_x", "number_y", "k", "slack")
-    pairs = materialised(pairs)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count() // 4)
+    # letters that all tokens of both blocks begin with are left out: they change no distance
+    lead = F.expr("array_max(filter(sequence(0, least(length(begin_x), length(begin_y))), i -> left(begin_x, i) = left(begin_y, i)))")
+    pairs = a.join(rules, "n_x").join(b, "n_y").where((F.col("number_x") <= F.col("number_y")) & (F.col("wanted_x") | F.col("wanted_y")) & close("begin_x", "begin_y"))
+    pairs = materialised(pairs.select("number_x", "number_y", "k", "slack", lead.alias("lead")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count() // 2)
     x, y = (blocks.select(F.col("number").alias(f"number_{s}"), F.col("groups").alias(f"groups_{s}")) for s in "xy")
     met = pairs.join(x, "number_x").join(y, "number_y").repartition(min(tasks, 20_000))
-    met = met.select("number_x", "number_y", "k", "slack", "groups_y", F.explode("groups_x").alias("gx")).select("number_x", "number_y", "k", "slack", "gx", F.explode("groups_y").alias("gy"))
-    met = met.where(close("gx.begin", "gy.begin")).select("number_x", "number_y", "k", F.col("gy.rows").alias("ys"), F.explode("gx.rows").alias("x")).select("number_x", "number_y", "k", "x", F.explode("ys").alias("y"))
-    once = (F.col("number_x") < F.col("number_y")) | (F.col("x.e") <= F.col("y.e"))
-    return met.where(once & (F.col("x.wanted") | F.col("y.wanted"))).where(F.expr("levenshtein(x.t, y.t, k) >= 0")).select("x", "y")
+    rest = lambda t: F.substring(t, F.col("lead") + 1, F.length(t))
+    cut = lambda c: F.transform(c, lambda g: F.struct(rest(g["begin"]).alias("begin"), F.transform(g["rows"], lambda r: F.struct(rest(r["t"]).alias("rest"), r.alias("row"))).alias("rows")))
+    same = F.col("number_x") == F.col("number_y")
+    met = met.select(same.alias("same"), "k", "slack", cut("groups_y").alias("ys"), F.explode(cut("groups_x")).alias("gx")).select("same", "k", "slack", "gx", F.explode("ys").alias("gy"))
+    met = met.where(close("gx.begin", "gy.begin")).select("same", "k", F.col("gy.rows").alias("ys"), F.explode("gx.rows").alias("x")).select("same", "k", "x", F.explode("ys").alias("y"))
+    met = met.where((~F.col("same") | (F.col("x.row.e") <= F.col("y.row.e"))) & (F.col("x.row.wanted") | F.col("y.row.wanted"))).where(F.expr("levenshtein(x.rest, y.rest, k) >= 0"))
+    return met.select(F.col("x.row").alias("x"), F.col("y.row").alias("y"), F.levenshtein("x.rest", "y.rest").alias("edits"))
 
 
 def near_tokens(tokens: DataFrame, threshold: float) -> DataFrame:
@@ -135,14 +140,18 @@ def near_tokens(tokens: DataFrame, threshold: float) -> DataFrame:
     short, long = (df.select(F.col("e").alias(f"e_{x}"), F.col("wanted").alias(f"wanted_{x}"), *KEY) for df, x in zip(met_by_parts(tokens, sparse), "sl"))
     met = short.where("wanted_s").join(long, KEY).unionByName(short.where("NOT wanted_s").join(long.where("wanted_l"), KEY))
     met = met.select(F.least("e_s", "e_l").alias("e_x"), F.greatest("e_s", "e_l").alias("e_y")).distinct()
-    out = met.join(tokens.select(F.col("e").alias("e_x"), rows.alias("x")), "e_x").join(tokens.select(F.col("e").alias("e_y"), rows.alias("y")), "e_y").select("x", "y")
+    out = met.join(tokens.select(F.col("e").alias("e_x"), rows.alias("x")), "e_x").join(tokens.select(F.col("e").alias("e_y"), rows.alias("y")), "e_y").select("x", "y", F.levenshtein("x.t", "y.t").alias("edits"))
     if dense:
         out = out.unionByName(in_blocks(tokens, {pair: edits[pair] for pair in dense}))
-    return out.withColumn("ratio", ratio(F.col("x.t"), F.col("y.t"))).where(F.col("ratio") > threshold - 1e-6)
+    return out.select("x", "y", score(F.col("edits"), F.length("x.t"), F.length("y.t")).alias("ratio")).where(F.col("ratio") > threshold - 1e-6)
+
+
+def score(edits: Column, m: Column, n: Column) -> Column:
+    return 100 * (1 - edits / F.greatest(m, n, F.lit(1)))
 
 
 def ratio(s: Column, t: Column) -> Column:
-    return 100 * (1 - F.levenshtein(s, t) / F.greatest(F.length(s), F.length(t), F.lit(1)))
+    return score(F.levenshtein(s, t), F.length(s), F.length(t))
 
 
 def mean_ratio(u: Column, v: Column) -> Column:
@@ -214,8 +223,8 @@ def similar_names(people: DataFrame, id_col: str, name_col: str, threshold: floa
     chunks = materialised(chunks.drop("chunk").withColumn("e", F.monotonically_increasing_id()))
 
     single = near_tokens(chunks.where("n = 1").select("e", "t", F.lit(True).alias("wanted"), "ids"), threshold)
-    score = F.round("ratio", 6)
-    single = single.select((F.col("x.e") == F.col("y.e")).alias("same"), score.alias("forth"), score.alias("back"), F.col("x.ids").alias("ids_x"), F.col("y.ids").alias("ids_y"))
+    rounded = F.round("ratio", 6)
+    single = single.select((F.col("x.e") == F.col("y.e")).alias("same"), rounded.alias("forth"), rounded.alias("back"), F.col("x.ids").alias("ids_x"), F.col("y.ids").alias("ids_y"))
 
     alike = materialised(alike_sets(sets.select("k", "tokens", "n"), threshold))
     sizes = sets.select("k", "ids")
