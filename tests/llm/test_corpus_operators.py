@@ -244,6 +244,37 @@ def test_secrets_of_one_owner_are_live_in_any_number_of_rows(spark):
     assert {r.doc_id: r.text == "[secret]" for r in secrets.redact(df).collect()} == want
 
 
+def test_owners_and_repositories_are_counted_over_all_rows(spark):
+    rng = np.random.default_rng(6)
+    pick = lambda own: own[rng.integers(0, len(own))]
+    rows = [(pick("abcdefgh"), pick([None, "s1", "s2", "s3"]), pick([None, *range(20)])) for _ in range(300)]
+    got = {r.hash: (r.n_owners, r.n_repositories, r.n_unowned) for r in secrets.ownership(spark.createDataFrame(rows, "hash string, owner string, repository long")).collect()}
+    want = {}
+    for value in {h for h, _, _ in rows}:
+        own = [(o, r) for h, o, r in rows if h == value]
+        every, owned = ({r for o, r in own if r is not None and (o or not known)} for known in (False, True))
+        want[value] = (len({o for o, _ in own if o}), len(every), len(every - owned))
+    assert got == want
+
+
+def test_reports_tell_examples_from_live_values_by_owners_and_repositories(spark):
+    own, three, unknown, partly = ("Zq8" + c + "kR4tY7uI" * 5 for c in "abcd")
+    same = "é token=aaaaaaaaaaaa"
+    rows = [(k, own, "s1") for k in range(30)] + [(100 + k, three, f"s{k % 3}") for k in range(7)] + [(200 + k, unknown, None) for k in range(10)]
+    # each of these repositories has a row without owner and one with: none of them is unowned
+    rows += [(300 + k, partly, o) for k in range(12) for o in (None, "s1")] + [(400, same, "s2"), (401, f"{own} {three}", "s1"), (402, "no secrets", "s1")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {(r.doc_id, r.ownership) for r in secrets.secret_report(df).collect()}
+    # doc 401 is one more repository of two values, of owners that they have already
+    want = {own: "live:0:44:1:31", three: "example:0:44:3:8", unknown: "example:0:44:0:10", partly: "live:0:44:1:12", same: "plain:8:20:1:1"}
+    want |= {f"{own} {three}": "live:0:44:1:31,example:45:89:3:8", "no secrets": ""}
+    assert found == {(k, want[t]) for k, t, _ in rows}
+    live = {k: w.count("live") for k, w in found}
+    assert all(r.n_live == r.spans.count("live:") == live[r.doc_id] for r in secrets.secret_report(df).collect())
+    text = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert text[300] == "[secret]" and text[401] == f"[secret] {three}" and text[200] == unknown
+
+
 def test_secrets_of_odd_rows(spark, odd):
     rows = secrets.secret_report(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(d for d, _, _ in ODD)
