@@ -24,8 +24,8 @@ SPARSE = 50
 SLACK = 16
 #: Parts of a token's sets, and other tokens of a name that are looked at before a pair is scored.
 PARTS, LOOKED = 16, 3
-#: Pairs that one task makes at the end.
-STEP = 4_000_000
+#: Pairs that one task makes at the end, and ids of each side whose pairs it makes at a time.
+STEP, SLICE = 32_000_000, 64
 
 
 def most_edits(length: int, threshold: float) -> int:
@@ -199,8 +199,19 @@ def alike_sets(sets: DataFrame, threshold: float) -> DataFrame:
     return scored.select("k_u", "k_v", "s.forth", F.coalesce("s.back", "s.forth").alias("back")).where((F.col("forth") > threshold) | (F.col("back") > threshold))
 
 
-def paired(chunks: DataFrame, threshold: float) -> DataFrame:
-    """id_a < id_b, score of ids_x and ids_y (all pairs, or those of one chunk if it is the same)."""
+def sliced(ids: str) -> Column:
+    """The ids in slices; few ids are one as they are."""
+    cut = F.transform(F.sequence(F.lit(1), F.size(ids), F.lit(SLICE)), lambda i: F.slice(ids, i, F.lit(SLICE)))
+    return F.when(F.size(ids) <= SLICE, F.array(ids)).otherwise(cut)
+
+
+def paired(chunks: DataFrame, threshold: float, most: int = CHUNK) -> DataFrame:
+    """id_a < id_b, score of ids_x and ids_y (all pairs, or those of one chunk if it is the same); no set has more than ``most`` ids.
+
+    All pairs of a row are held before the first is handed on, so chunks are cut once more: a task has those of two slices at a time.
+    """
+    if most > SLICE:
+        chunks = chunks.select("same", "forth", "back", "ids_x", F.explode(sliced("ids_y")).alias("ids_y")).select("same", "forth", "back", F.explode(sliced("ids_x")).alias("ids_x"), "ids_y")
     each = chunks.select("same", "forth", "back", "ids_y", F.explode("ids_x").alias("x")).select("same", "forth", "back", "x", F.explode("ids_y").alias("y"))
     each = each.where("CASE WHEN same THEN x < y ELSE x <> y END")
     out = each.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), F.when(F.col("x") < F.col("y"), F.col("forth")).otherwise(F.col("back")).alias("score"))
@@ -227,9 +238,11 @@ def similar_names(people: DataFrame, id_col: str, name_col: str, threshold: floa
     single = single.select((F.col("x.e") == F.col("y.e")).alias("same"), rounded.alias("forth"), rounded.alias("back"), F.col("x.ids").alias("ids_x"), F.col("y.ids").alias("ids_y"))
 
     alike = materialised(alike_sets(sets.select("k", "tokens", "n"), threshold))
+    most = {r[0]: r[1] for r in sets.groupBy(F.col("n") == 1).agg(F.max("ids")).collect()}  # two rows
     sizes = sets.select("k", "ids")
     made = alike.join(sizes.toDF("k_u", "ids_u"), "k_u").join(sizes.toDF("k_v", "ids_v"), "k_v").agg(F.sum(F.col("ids_u").cast("double") * F.col("ids_v"))).first()[0]
     tasks = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((made or 0) / STEP)), 20_000)
     x, y = (chunks.select(F.col("k").alias(f"k_{s}"), F.col("e").alias(f"e_{c}"), F.col("ids").alias(f"ids_{c}")) for s, c in zip("uv", "xy"))
     several = alike.join(x, "k_u").join(y, "k_v").where("k_u <> k_v OR e_x <= e_y").select((F.col("e_x") == F.col("e_y")).alias("same"), "forth", "back", "ids_x", "ids_y").repartition(tasks)
-    return paired(single, threshold).unionByName(paired(several, threshold))
+    # a set of one token meets sets of several too
+    return paired(single, threshold, most.get(True, 0)).unionByName(paired(several, threshold, max(most.values(), default=0)))
